@@ -61,4 +61,12 @@ def schema(name: str) -> StructType:
     return StructType.fromDDL(DDL[name])
 
 
-SCHEMAS = {name: schema(name) for name in DDL}
+class _Schemas(dict):
+    """Parsed on first use: DDL parsing needs a live session."""
+
+    def __missing__(self, name: str) -> StructType:
+        self[name] = schema(name)
+        return self[name]
+
+
+SCHEMAS = _Schemas()

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quarry.schemas import SCHEMAS  # noqa: F401  (re-exported for callers)
 
@@ -80,7 +80,7 @@ def read_csv(spark: SparkSession, path: str, fmt: CsvFormat,
     r = spark.read.options(**fmt.reader_options())
     if schema is not None:
         if corrupt_col:
-            schema = StructType(schema.fields + [StructType.fromDDL(f"{corrupt_col} string").fields[0]])
+            schema = StructType(schema.fields + [StructField(corrupt_col, StringType(), True)])
             r = r.option("columnNameOfCorruptRecord", corrupt_col)
         r = r.schema(schema)
     df = r.csv(path)
@@ -93,7 +93,8 @@ def scan_csv_positional(spark: SparkSession, path: str, fmt: CsvFormat,
     1-based ordinal. Unnamed ordinals are never projected, so the CSV
     parser skips them (column pruning)."""
     df = read_csv(spark, path, fmt)
-    return df.select(*[F.col(f"_c{p - 1}").alias(n) for p, n in sorted(positions.items())])
+    cols = df.columns
+    return df.select(*[F.col(f"`{cols[p - 1]}`").alias(n) for p, n in sorted(positions.items())])
 
 
 def split_escaped(line: Column, delimiter: str, escape: str, n: int) -> list[Column]:
