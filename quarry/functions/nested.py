@@ -31,8 +31,9 @@ def flatten(df: DataFrame, v: str, outer: bool = False) -> DataFrame:
     """LATERAL FLATTEN(input => v) (N01/J05): one row per array element or
     object field, with ``pos``, ``key`` and ``value`` columns. The inner
     form drops rows whose input is NULL or empty."""
-    fn = "variant_explode_outer" if outer else "variant_explode"
-    return df.selectExpr("*", f"{fn}(`{v}`) AS (pos, key, value)")
+    spark = df.sparkSession
+    tvf = spark.tvf.variant_explode_outer if outer else spark.tvf.variant_explode
+    return df.alias("_doc").lateralJoin(tvf(F.col(f"_doc.`{v}`").outer()))
 
 
 def object_of_row(df: DataFrame, exclude: tuple[str, ...] = ()) -> Column:

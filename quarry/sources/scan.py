@@ -129,8 +129,14 @@ def write_escaped(df: DataFrame, path: str, fmt: CsvFormat) -> None:
 
 
 def scan_variant(spark: SparkSession, path: str, column: str = "v") -> DataFrame:
-    """JSON documents into one VARIANT column (S04). A bad line gives NULL."""
-    return spark.read.option("singleVariantColumn", column).json(path)
+    """JSON documents into one VARIANT column (S04). A bad line gives NULL.
+
+    Folders are read as plain nesting (no ``k=v`` partition inference): a
+    single-variant scan that also carries partition values and file
+    metadata fails in Spark 4.1, and a stage's folders are not table
+    partitions anyway."""
+    return (spark.read.option("singleVariantColumn", column)
+            .option("recursiveFileLookup", "true").json(path))
 
 
 def scan_json(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
