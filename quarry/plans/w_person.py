@@ -23,17 +23,18 @@ PERSONS_PER_DOC = 16
 CUSTOMERS_PER_FILE = 2048
 
 
-def stage_person_docs(cat) -> str:
-    p = cat.persons
+def stage_person_docs(cat, persons: DataFrame | None = None, path: str | None = None,
+                      mode: str = "error") -> str:
+    p = cat.persons if persons is None else persons
     docs = (p.groupBy(
                 F.format_string("n%02d_b%d", F.col("c_nationkey"),
                                 F.floor(F.col("c_custkey") / CUSTOMERS_PER_FILE)).alias("file_key"),
                 F.floor(F.col("c_custkey") / PERSONS_PER_DOC).alias("doc_no"))
             .agg(F.to_json(F.array_sort(F.collect_list(F.struct(
                 "id", "name", "age", "location", "zip", "member", "since", "balance")))).alias("value")))
-    path = f"{scratch(cat.spark, 'person-stage')}/person"
+    path = path or f"{scratch(cat.spark, 'person-stage')}/person"
     (docs.repartition("file_key").sortWithinPartitions("file_key", "doc_no").drop("doc_no")
-     .write.partitionBy("file_key").text(path))
+     .write.mode(mode).partitionBy("file_key").text(path))
     return path
 
 
