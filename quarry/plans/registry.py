@@ -63,4 +63,4 @@ def load_all() -> None:
         importlib.import_module(f"quarry.plans.{mod}")
 
 
-WORKLOADS = ["w_players", "w_banking", "w_files", "w_history", "w_person", "w_streaming", "w_ml"]
+WORKLOADS = ["w_players", "w_banking", "w_files", "w_history", "w_person", "w_streaming", "w_ml", "w_generate"]
