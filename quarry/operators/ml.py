@@ -178,9 +178,15 @@ def global_metrics(scored: DataFrame, label: str = "label", prediction: str = "p
     rows = scored.agg((F.sum((F.col(label) == F.col(prediction)).cast("long")) / F.count(F.lit(1)))
                       .alias("accuracy"),
                       (-F.avg(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"))
-    one = F.lit(1).alias("_one")
-    return (macro.select(one, "*").join(rows.select(one, "*"), "_one")
-            .join(auc(scored, label, score).select(one, "auc"), "_one").drop("_one"))
+    # three one-row results side by side without a join: long form, then pivot
+    parts = [macro, rows, auc(scored, label, score).select("auc")]
+    names = [c for p_ in parts for c in p_.columns]
+    long = None
+    for part in parts:
+        args = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in part.columns)
+        lf = part.selectExpr(f"stack({len(part.columns)}, {args}) AS (metric, value)")
+        long = lf if long is None else long.unionByName(lf)
+    return long.groupBy().pivot("metric", names).agg(F.first("value")).select(*names)
 
 
 # -------------------------------------------------------------- text (L09) --
