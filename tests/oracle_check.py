@@ -80,6 +80,8 @@ def main():
     from quarry.session import build_session
     import __spark_entry__ as e
     spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("QUARRY_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["QUARRY_TZ"])
     con = duck(sf_dir)
     qs, orc = e.queries(), e.oracle_sql()
     names = [n for n in qs if not pats or any(p in n for p in pats)]
