@@ -84,7 +84,7 @@ def j03_left_keep_left(cat):
     """Native table B ⟕ file view A, B's columns only. A contributes only its
     key column to the scan; B's rows repeat once per matching A row."""
     a = customer_view(cat)
-    b = sinks.ctas(a, f"{scratch(cat.spark, 'native')}/customer_snowflake_table")
+    b = sinks.ctas(a, f"{scratch(cat.spark, 'native')}/customer_native_table")
     return b.alias("b").join(a.alias("a"), F.col("a.C_CUSTOMER_SK") == F.col("b.C_CUSTOMER_SK"), "left") \
         .select("b.*")
 
