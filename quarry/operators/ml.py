@@ -151,12 +151,16 @@ def auc(scored: DataFrame, label: str, score: str, rows_per_bucket: int = 2_000_
         d = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(d)
     else:
         d = d.withColumn("b", F.lit(0.0))
-    totals = d.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    offsets = totals.select("b", F.coalesce(F.sum("bneg").over(
-        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
     w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = d.join(F.broadcast(offsets), "b").withColumn(
-        "below", F.col("off") + F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    if k > 1:
+        # one row per bucket (k rows, a proven bound) -> offsets, broadcast back
+        totals = d.groupBy("b").agg(F.sum("neg").alias("bneg"))
+        offsets = totals.select("b", F.coalesce(F.sum("bneg").over(
+            Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+        d = d.join(F.broadcast(offsets), "b")
+    else:
+        d = d.withColumn("off", F.lit(0).cast("long"))
+    ranked = d.withColumn("below", F.col("off") + F.coalesce(F.sum("neg").over(w), F.lit(0)))
     u2 = ranked.agg(F.sum(F.col("pos") * (2 * F.col("below") + F.col("neg"))).alias("u2"),
                     F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return u2.select((F.col("u2") / (2 * F.col("p") * F.col("n"))).alias("auc"), "p", "n")
