@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from quarry.llm.exact_dup import EXACT_ORACLE, exact_duplicates
 from quarry.llm.mixing import mix_sources
+from quarry.llm.near_dup import near_duplicates
 from quarry.llm.packing import pack
 from quarry.llm.sharding import shard_documents
 from quarry.llm.token_file import read_token_file, write_token_file
 from quarry.llm.tokens import tokenizer_path
+from quarry.llm.toxicity import held_out, score_documents, train
 from quarry.llm.url_rules import PAGE_ORACLE, judge_pages
 from quarry.session import scratch
 
@@ -34,11 +36,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_near_dedup")
+def op1(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 @query("op2_exact_dedup", EXACT_ORACLE)
 def op2(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op3_toxicity")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score_documents(docs, model).select(
+        "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op4_token_file")
 def op4(spark, sf_dir):
     path = scratch(spark, "llm-tokens")
