@@ -13,8 +13,10 @@ from quarry.llm.mixing import mix_sources
 from quarry.llm.near_dup import near_duplicates
 from quarry.llm.packing import pack
 from quarry.llm.sharding import shard_documents
+from quarry.llm.suffix_dedup import cut_report
 from quarry.llm.token_file import read_token_file, write_token_file
 from quarry.llm.tokens import tokenizer_path
+from quarry.llm.topk_search import TOPK_ORACLE, top_k
 from quarry.llm.toxicity import held_out, score_documents, train
 from quarry.llm.url_rules import PAGE_ORACLE, judge_pages
 from quarry.session import scratch
@@ -62,6 +64,11 @@ def op4(spark, sf_dir):
     return read_token_file(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op5_suffix_dedup")
+def op5(spark, sf_dir):
+    return cut_report(table(spark, sf_dir, "documents"), window=50)
+
+
 @query("op6_packing")
 def op6(spark, sf_dir):
     pieces = pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), False, end_id=2)
@@ -74,6 +81,11 @@ def op7(spark, sf_dir):
     return judge_pages(table(spark, sf_dir, "pages"))
 
 
+@query("op8_topk_search", TOPK_ORACLE)
+def op8(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 @query("op9_mix_sources")
 def op9(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
