@@ -7,9 +7,10 @@
    whole always share a run at similarity 0.8 (of U values at most U/5 are
    unshared, which leaves three shared in a row for U >= 6; U = 5 has keys of
    its own); for larger sets the chance to share none is below 1e-6.
-3. Each list gives its pairs with the list's smallest class. They are
-   estimated on the sketch of the union (its K smallest values), then
-   verified on the full sets. Links join classes to components.
+3. Each list gives its pairs with the list's most connected class (which has
+   most entries beside it over all its lists: an original before its edited
+   copies). They are estimated on the sketch of the union (its K smallest
+   values), then verified on the full sets. Links join classes to components.
 4. Lists that still hold several components are compared in blocks, only
    across components, again estimated and then verified. After that every
    pair of a list is either compared or known to be connected.
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 from quarry.llm.common import require_columns, small, staged
 from quarry.llm.components import components
 
-K = 48
-#: of the K smallest of a union so many are shared at similarity 0.8, but for a chance below 1e-7
-LEAST_SHARED = 21
+K = 128
+KEYED = 48  # of them make the keys of the inverted lists
+#: of the K smallest of a union so many are shared at similarity 0.8, but for a chance below 1e-6
+LEAST_SHARED = 79
 BLOCK = 512  # classes of a list compared at once
 
 _EMPTY = np.zeros(0, dtype=np.int64)
@@ -69,7 +71,8 @@ def _sketch(size: int):
     return run
 
 
-def _list_keys(n: Column, s: Column) -> Column:
+def _list_keys(n: Column, sketch: Column) -> Column:
+    s = F.slice(sketch, 1, KEYED)
     runs = F.when(F.size(s) >= 3, F.transform(
         F.sequence(F.lit(1), F.size(s) - 2), lambda i: F.xxhash64(
             F.element_at(s, i), F.element_at(s, i + 1), F.element_at(s, i + 2)))).otherwise(F.array().cast("array<long>"))
@@ -191,12 +194,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")), "classes")
 
     keys = classes.select("rep", F.explode(_list_keys(F.col("n"), F.col("sketch"))).alias("key"))
-    heads = (keys.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("_last"))
-             .filter(F.col("head") != F.col("_last")).drop("_last"))
-    lists = staged(keys.join(heads, "key"), "lists")
+    shared = (keys.groupBy("key").agg(F.count(F.lit(1)).alias("_c"), F.min("rep").alias("_x"), F.max("rep").alias("_y"))
+              .filter(F.col("_x") != F.col("_y")))
+    entries = staged(keys.join(shared.select("key", "_c"), "key"), "entries")
+    degree = entries.groupBy("rep").agg(F.sum("_c").alias("_d"))
+    ranked = staged(entries.join(degree, "rep").select("key", "rep", F.struct("_d", (-F.col("rep")).alias("_r"))
+                                                       .alias("_rank")), "ranked")
+    heads = ranked.groupBy("key").agg(F.max("_rank").alias("_top"))
+    lists = staged(ranked.join(heads, "key").select("key", "rep", (-F.col("_top._r")).alias("head")), "lists")
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"),
                                     F.col("sketch").alias(f"s_{x}"))
-    pairs = (lists.filter("rep != head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = (lists.filter("rep != head").select(F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b")).distinct()
              .join(side("b"), "b").join(side("a"), "a")
              .filter(_alike(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), percent)).select("a", "b"))
     links = _links(staged(pairs, "pairs"), docs, size, percent)
