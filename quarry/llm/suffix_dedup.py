@@ -37,7 +37,10 @@ LOW = np.uint64((1 << 40) - 1)
 _MUL, _FIN = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
 _POWERS = [np.uint64(pow(_MUL, 1 << k, 1 << 64)) for k in range(8)]
 
-MESSAGE = "bucket int, doc_id long, payload binary"
+#: kind TOLD: for a bucket of hashes or runs; REPLY: for the documents with id % buckets = bucket
+TOLD, REPLY, TEXT = 0, 1, 2
+MESSAGE = "bucket int, kind int, payload binary"
+SMALL_IDS = 1_000_000  # longer lists of ids join by a shuffle
 
 
 def anchors(raw: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,10 +100,22 @@ def _expand(payload: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def _messages(rows: list[tuple]) -> pa.RecordBatch:
+def _messages(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
-         pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "doc_id", "payload"])
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+         pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "payload"])
+
+
+def _replies(buckets: int, doc: np.ndarray, *more: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """One message per bucket of documents, rows in order of ids."""
+    if not len(doc):
+        return []
+    to = doc % buckets
+    order = np.lexsort((doc, to))
+    to = to[order]
+    start = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+    return [(int(to[x]), REPLY, _squeeze(doc[order[x:y]], *[m[order[x:y]] for m in more]))
+            for x, y in zip(start, [*start[1:], len(to)])]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], most: int = 24 << 20) -> Iterator[pa.RecordBatch]:
@@ -116,8 +131,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], most: int = 24 << 20) -> Iterator
 
 
 def _tell(window: int, buckets: int):
-    """Per batch: hashes shared inside it as hits of their documents (bucket of
-    the document, for an even spread), every hash once for its bucket."""
+    """Per batch: hashes shared inside it as hits of their documents, and every
+    hash once, with one of its documents, for its bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
             ids = batch.column("doc_id").to_pylist()
@@ -126,101 +141,122 @@ def _tell(window: int, buckets: int):
                 continue
             names = np.concatenate(own)
             docs = np.repeat(np.array(ids, dtype=np.int64), [len(x) for x in own])
-            order = np.lexsort((docs, names))
+            order = np.argsort(names, kind="stable")
             names, docs = names[order], docs[order]
-            first = np.concatenate([[True], names[1:] != names[:-1]])
-            start = np.flatnonzero(first)
-            end = np.append(start[1:], len(names)) - 1
-            many = np.repeat(docs[start] != docs[end], end - start + 1)
-            out = []
-            for doc, hits in _by_doc(docs[many], names[many]):
-                out.append((doc % buckets, doc, _squeeze(hits)))
+            start = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+            size = np.diff(np.append(start, len(names)))
+            differ = np.maximum.reduceat(docs, start) != np.minimum.reduceat(docs, start)
+            many = np.repeat(differ, size)
+            out = _replies(buckets, docs[many], names[many])
             names, docs = names[start], docs[start]
             which = names >> np.uint64(40)
             cut = np.searchsorted(which, np.arange(buckets + 1, dtype=np.uint64))
             for b in np.unique(which).tolist():
                 x = slice(cut[b], cut[b + 1])
                 low = names[x] & LOW
-                out.append((b, None, _squeeze(np.diff(low, prepend=low[:1] * 0), docs[x])))
+                out.append((b, TOLD, _squeeze(np.diff(low, prepend=low[:1] * 0), docs[x])))
             yield _messages(out)
     return run
 
 
-def _by_doc(docs: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(docs, kind="stable")
-    docs, values = docs[order], values[order]
-    start = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if len(docs) else []
-    for a, b in zip(start, [*start[1:], len(docs)]):
-        yield int(docs[a]), values[a:b]
-
-
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[tuple]]]:
-    """(bucket, what passes through, its messages), from rows sorted by bucket."""
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple], list[bytes]]]:
+    """(bucket, replies that pass through, what was told), from rows sorted by bucket."""
     held: int | None = None
     through, own = [], []
     for batch in batches:
-        for b, doc, payload in zip(*[c.to_pylist() for c in batch.columns]):
+        for b, kind, payload in zip(*[c.to_pylist() for c in batch.columns]):
             if b != held and held is not None:
                 yield held, through, own
                 through, own = [], []
             held = b
-            (through if doc is not None else own).append((doc, payload))
+            if kind == REPLY:
+                through.append((b, kind, payload))
+            else:
+                own.append(payload)
     if held is not None:
         yield held, through, own
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hits by document: hashes of a bucket that several documents told."""
-    for b, through, own in _buckets(batches):
-        out = [(0, doc, payload) for doc, payload in through]
-        if own:
-            lows, docs = zip(*[(np.cumsum(x, dtype=np.uint64), d)
-                               for x, d in (_expand(p, "<u8", "<i8") for _, p in own)])
-            low, doc = np.concatenate(lows), np.concatenate(docs)
-            order = np.argsort(low, kind="stable")
-            low, doc = low[order], doc[order]
-            start = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-            size = np.diff(np.append(start, len(low)))
-            differ = np.maximum.reduceat(doc, start) != np.minimum.reduceat(doc, start)
-            many = np.repeat(differ, size)
-            names = (np.uint64(b) << np.uint64(40)) | low[many]
-            out += [(0, d, _squeeze(hits)) for d, hits in _by_doc(doc[many], names)]
-        if out:
-            yield _messages(out)
+def _answer(buckets: int):
+    """Hits of documents: hashes of a bucket that several documents told."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, out, own in _buckets(batches):
+            if own:
+                lows, docs = zip(*[(np.cumsum(x, dtype=np.uint64), d)
+                                   for x, d in (_expand(p, "<u8", "<i8") for p in own)])
+                low, doc = np.concatenate(lows), np.concatenate(docs)
+                order = np.argsort(low, kind="stable")
+                low, doc = low[order], doc[order]
+                start = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+                size = np.diff(np.append(start, len(low)))
+                differ = np.maximum.reduceat(doc, start) != np.minimum.reduceat(doc, start)
+                many = np.repeat(differ, size)
+                out = out + _replies(buckets, doc[many], (np.uint64(b) << np.uint64(40)) | low[many])
+            if out:
+                yield _messages(out)
+    return run
+
+
+def _mail(batches: Iterator[pa.RecordBatch], *kinds: str) -> Iterator[tuple[tuple, list[np.ndarray]]]:
+    """((doc_id, rk, text), the document's rows of its bucket's replies), from
+    rows sorted by (bucket, kind): replies come before the texts."""
+    held, letters, table, edges = None, [], None, {}
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("bucket", "kind", "payload", "doc_id", "rk", "text")]
+        for b, kind, payload, doc, rk, text in zip(*cols):
+            if b != held:
+                held, letters, table, edges = b, [], None, {}
+            if kind == REPLY:
+                letters.append(payload)
+                continue
+            if letters:
+                table = [np.concatenate(x) for x in zip(*[_expand(p, "<i8", *kinds) for p in letters])]
+                order = np.argsort(table[0], kind="stable")
+                table, letters = [x[order] for x in table], []
+                start = np.flatnonzero(np.concatenate([[True], table[0][1:] != table[0][:-1]]))
+                edges = {int(table[0][x]): (x, y) for x, y in zip(start, [*start[1:], len(order)])}
+            if doc in edges:
+                x, y = edges[doc]
+                yield (doc, rk, text), [t[x:y] for t in table[1:]]
 
 
 def _runs(window: int, buckets: int):
-    """Rows doc_id, rk, text, hits -> runs of windows around shared anchors.
+    """Runs of windows around shared anchors, to the anchors' buckets.
 
-    Equal runs inside a batch are sent once, with the smallest id; for the
-    others their windows are covered at once.
+    Equal runs inside a batch are sent once, with the smallest id; the windows
+    of the others are covered at once.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _pieces(batches, 8 << 20):
-            found: dict[int, list] = {}
-            for doc, rk, text, hits in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "rk", "text", "hits")]):
-                hit = np.unique(np.concatenate([_expand(p, "<u8")[0] for p in hits]))
-                for at, raw in segments(text, window):
-                    for bucket, a, n, body in _candidates(raw, window, buckets, hit):
-                        found.setdefault(bucket, []).append((body, doc, rk, at + a, n))
-            out = []
-            for bucket, rows in found.items():
-                rows.sort()
-                sent, spans = [], {}
-                for r in rows:
-                    if sent and sent[-1][0] == r[0]:
-                        if r[1] > sent[-1][1]:
-                            spans.setdefault((r[1], r[2]), []).append((r[3], r[4]))
-                            continue
+    def flush(found: dict[int, list]) -> pa.RecordBatch:
+        out, covered = [], []
+        for bucket, rows in found.items():
+            rows.sort()
+            sent: list[tuple] = []
+            for r in rows:
+                if sent and sent[-1][0] == r[0] and r[1] > sent[-1][1]:
+                    covered.append(r[1:])
+                else:
                     sent.append(r)
-                for (doc, rk), s in spans.items():
-                    out.append((bucket, doc, _span_bytes(rk, s)))
-                head = np.array([(r[1], r[2], r[3], r[4]) for r in sent], dtype=np.int64)
-                body = zstandard.compress(b"".join(r[0] for r in sent), 1)
-                meta = _squeeze(*head.T.copy())
-                out.append((bucket, None, len(meta).to_bytes(4, "little") + meta + body))
-            if out:
-                yield _messages(out)
+            meta = _squeeze(*np.array([r[1:] for r in sent], dtype=np.int64).T.copy())
+            body = zstandard.compress(b"".join([r[0] for r in sent]), 1)
+            out.append((bucket, TOLD, len(meta).to_bytes(4, "little") + meta + body))
+        if covered:
+            out += _replies(buckets, *np.array(covered, dtype=np.int64).T.copy())
+        return _messages(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list] = {}
+        size = 0
+        for (doc, rk, text), (hits,) in _mail(batches, "<u8"):
+            hits = np.unique(hits)
+            for at, raw in segments(text, window):
+                for bucket, a, n, body in _candidates(raw, window, buckets, hits):
+                    found.setdefault(bucket, []).append((body, doc, rk, at + a, n))
+                    size += len(body) + 200
+            if size > 64 << 20:
+                yield flush(found)
+                found, size = {}, 0
+        if found:
+            yield flush(found)
     return run
 
 
@@ -237,11 +273,6 @@ def _candidates(raw: np.ndarray, window: int, buckets: int, hit: np.ndarray) ->
             for b, a, k in zip(bucket.tolist(), start[known].tolist(), size[known].tolist())]
 
 
-def _span_bytes(rk: int, spans: list[tuple[int, int]]) -> bytes:
-    """Row key, then (first window, windows) pairs."""
-    return np.concatenate([[rk], np.array(spans, dtype=np.int64).reshape(-1)]).astype("<i8").tobytes()
-
-
 def radix_groups(data: np.ndarray, at: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of ``data`` at ``at`` that agree on ``window`` bytes with one of
     another document: (their index, the smallest document of their group)."""
@@ -273,77 +304,85 @@ def radix_groups(data: np.ndarray, at: np.ndarray, doc: np.ndarray, window: int)
     return live, np.repeat(least, np.diff(np.append(start, len(live))))
 
 
-def _cover(window: int):
+def _cover(window: int, buckets: int):
+    """Covered windows of documents as (first window, windows) runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, through, own in _buckets(batches):
-            out = [(0, doc, payload) for doc, payload in through]
+        for _, out, own in _buckets(batches):
             if own:
-                heads, bodies = [], []
-                for _, p in own:
+                least: dict[bytes, int] = {}
+                rows = []
+                for p in own:
                     n = int.from_bytes(p[:4], "little")
-                    heads.append(np.stack(_expand(p[4:4 + n], "<i8", "<i8", "<i8", "<i8")))
-                    bodies.append(zstandard.decompress(p[4 + n:]))
-                doc, rk, first, count = np.concatenate(heads, axis=1)
-                data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
-                length = count + window - 1
-                base = np.cumsum(length) - length
+                    data, at = zstandard.decompress(p[4 + n:]), 0
+                    for doc, rk, first, count in zip(*[x.tolist() for x in _expand(p[4:4 + n], *["<i8"] * 4)]):
+                        body = data[at:at + count + window - 1]
+                        at += len(body)
+                        rows.append((body, doc, rk, first, count))
+                        if doc < least.get(body, 1 << 63):
+                            least[body] = doc
+                # equal runs repeat as a whole: only the smallest id's is sorted
+                covered = [r[1:] for r in rows if r[1] > least[r[0]]]
+                rest = [r for r in rows if r[1] == least[r[0]]]
+                doc, rk, first, count = np.array([r[1:] for r in rest], dtype=np.int64).T
+                data = np.frombuffer(b"".join([r[0] for r in rest]), dtype=np.uint8)
+                base = np.cumsum(count + window - 1) - (count + window - 1)
                 row = np.repeat(np.arange(len(doc)), count)
                 step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                found, least = radix_groups(data, base[row] + step, doc[row], window)
-                found = found[doc[row[found]] > least]
-                r = row[found]
-                out += _span_messages(doc[r], rk[r], first[r] + step[found])
+                found, smallest = radix_groups(data, base[row] + step, doc[row], window)
+                found = np.sort(found[doc[row[found]] > smallest])
+                # neighbouring windows of a run as one
+                edge = np.concatenate([[True], (row[found][1:] != row[found][:-1]) | (np.diff(found) != 1)]) \
+                    if len(found) else np.zeros(0, dtype=bool)
+                start = np.flatnonzero(edge)
+                size = np.diff(np.append(start, len(found)))
+                r = row[found[start]]
+                parts = [np.stack([doc[r], rk[r], first[r] + step[found[start]], size])]
+                if covered:
+                    parts.append(np.array(covered, dtype=np.int64).T)
+                out = out + _replies(buckets, *np.concatenate(parts, axis=1).copy())
             if out:
                 yield _messages(out)
     return run
 
 
-def _span_messages(doc: np.ndarray, rk: np.ndarray, at: np.ndarray) -> list[tuple]:
-    if not len(doc):
-        return []
-    order = np.lexsort((at, rk, doc))
-    doc, rk, at = doc[order], rk[order], at[order]
-    new_row = np.concatenate([[True], (doc[1:] != doc[:-1]) | (rk[1:] != rk[:-1])])
-    new_run = new_row | np.concatenate([[True], at[1:] != at[:-1] + 1])
-    start = np.flatnonzero(new_run)
-    size = np.diff(np.append(start, len(at)))
-    rows = np.flatnonzero(new_row[start])
-    return [(0, int(doc[start[a]]), _span_bytes(int(rk[start[a]]), np.stack([at[start[a:b]], size[a:b]], axis=1)))
-            for a, b in zip(rows, [*rows[1:], len(start)])]
-
-
-def merged(payloads: list[bytes], window: int) -> list[tuple[int, int]]:
-    """Byte spans [a, b) covered by the windows of all payloads of a row."""
-    runs = np.concatenate([np.frombuffer(p, dtype="<i8")[1:].reshape(-1, 2) for p in payloads])
-    runs = runs[np.argsort(runs[:, 0], kind="stable")]
+def merged(at: np.ndarray, n: np.ndarray, window: int) -> list[tuple[int, int]]:
+    """Byte spans [a, b) covered by runs of ``n`` windows that start at ``at``."""
+    order = np.argsort(at, kind="stable")
     out: list[list[int]] = []
-    for a, n in runs.tolist():
+    for a, k in zip(at[order].tolist(), n[order].tolist()):
         if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], a + n + window - 1)
+            out[-1][1] = max(out[-1][1], a + k + window - 1)
         else:
-            out.append([a, a + n + window - 1])
+            out.append([a, a + k + window - 1])
     return [(a, b) for a, b in out]
 
 
 def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _pieces(batches):
-            rows = []
-            for doc, rk, text, spans in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "rk", "text", "spans")]):
-                raw, at, kept = text.encode(), 0, []
-                own = merged(spans, window)
-                for a, b in own:
-                    kept.append(raw[at:a])
-                    at = b
-                kept.append(raw[at:])
-                rows.append((doc, rk, sum(b - a for a, b in own), len(own), b"".join(kept)))
+        done: set[tuple[int, int]] = set()
+        for (doc, rk, text), (key, first, count) in _mail(batches, "<i8", "<i8", "<i8"):
+            mine = key == rk
+            if not mine.any() or (doc, rk) in done:
+                continue
+            done.add((doc, rk))
+            raw, at, kept = text.encode(), 0, []
+            spans = merged(first[mine], count[mine], window)
+            for a, b in spans:
+                kept.append(raw[at:a])
+                at = b
+            kept.append(raw[at:])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(),
-                                                                   pa.binary()))],
-                names=["doc_id", "rk", "n_removed", "n_spans", "kept"])
+                [pa.array([doc]), pa.array([rk]), pa.array([sum(b - a for a, b in spans)]), pa.array([len(spans)]),
+                 pa.array([b"".join(kept)], pa.binary())], names=["doc_id", "rk", "n_removed", "n_spans", "kept"])
     return run
 
 
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for p in batch.column("payload").to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_expand(p, *["<i8"] * 4)[0]))], names=["doc_id"])
+
+
 def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents that lose bytes: doc_id, rk (xxhash64 of the text), n_removed,
     n_spans and kept (the remaining bytes).
@@ -357,35 +396,43 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     if window < 2 * GRAM:
         raise ValueError(f"window must be at least {2 * GRAM} bytes")
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    docs = docs.filter(F.octet_length("text") >= window)
-    total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    docs = (docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+            .filter(F.octet_length("text") >= window).withColumn("rk", F.xxhash64("text")))
+
+    # whole copies lose everything to the smallest id of their text; they tell
+    # nothing new, so a list of them that is short enough is left out up front
+    prints = staged(docs.select("doc_id", "rk", F.sha2("text", 256).alias("_sha"),
+                                F.octet_length("text").cast("long").alias("_n")), "prints")
+    total = prints.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    least = prints.groupBy("_sha").agg(F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("_c")).filter("_c > 1")
+    copies = staged(prints.join(least, "_sha").filter("doc_id > _first").select("doc_id", "rk", "_n").distinct(),
+                    "copies")
+    few = copies.limit(SMALL_IDS + 1).count() <= SMALL_IDS
+    if few:
+        docs = docs.join(F.broadcast(copies.select("doc_id", "rk")), ["doc_id", "rk"], "left_anti")
+
     buckets = max(shuffle_parts(spark), total // BUCKET_BYTES + 1)
 
-    def dealt(df: DataFrame) -> DataFrame:
-        return df.repartition(min(buckets, 100_000), "bucket").sortWithinPartitions("bucket")
-
-    told = docs.mapInArrow(_tell(window, buckets), MESSAGE)
-    hits = staged(dealt(told).mapInArrow(_answer, MESSAGE)
-                  .groupBy("doc_id").agg(F.collect_list("payload").alias("hits")), "hits")
-    named = docs.join(small(hits.select("doc_id"), 1_000_000), "doc_id", "left_semi")
-    suspects = named.withColumn("rk", F.xxhash64("text")).join(hits, "doc_id")
-    runs = suspects.select("doc_id", "rk", "text", "hits").mapInArrow(_runs(window, buckets), MESSAGE)
-    spans = staged(
-        dealt(runs).mapInArrow(_cover(window), MESSAGE)
-        .withColumn("rk", _first_long("payload"))
-        .groupBy("doc_id", "rk").agg(F.collect_list("payload").alias("spans")), "spans")
-    hurt = docs.join(small(spans.select("doc_id").distinct(), 1_000_000), "doc_id", "left_semi")
-    return (hurt.withColumn("rk", F.xxhash64("text")).dropDuplicates(["doc_id", "rk"])
-            .join(spans, ["doc_id", "rk"]).select("doc_id", "rk", "text", "spans")
-            .mapInArrow(_cut(window), "doc_id long, rk long, n_removed long, n_spans long, kept binary"))
-
-
-def _first_long(column: str):
-    """The little-endian long that a payload starts with."""
-    hexed = F.hex(F.substring(F.col(column), 1, 8))
-    pairs = [F.substring(hexed, 2 * k + 1, 2) for k in reversed(range(8))]
-    return F.conv(F.concat(*pairs), 16, -10).cast("long")
+    def dealt(df: DataFrame, *order: str) -> DataFrame:
+        return df.repartition(min(buckets, 100_000), "bucket").sortWithinPartitions("bucket", *order)
+
+    def delivered(texts: DataFrame, replies: DataFrame) -> DataFrame:
+        none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("rk", "long"), ("text", "string"))]
+        rows = texts.select(F.pmod("doc_id", F.lit(buckets)).cast("int").alias("bucket"), F.lit(TEXT).alias("kind"),
+                            F.lit(None).cast("binary").alias("payload"), "doc_id", "rk", "text")
+        return dealt(rows.unionByName(replies.select("*", *none)), "kind")
+
+    told = docs.select("doc_id", "text").mapInArrow(_tell(window, buckets), MESSAGE)
+    hits = dealt(told).mapInArrow(_answer(buckets), MESSAGE)
+    runs = delivered(docs, hits).mapInArrow(_runs(window, buckets), MESSAGE)
+    spans = staged(dealt(runs).mapInArrow(_cover(window, buckets), MESSAGE), "spans")
+    hurt = staged(spans.mapInArrow(_named, "doc_id long").distinct(), "hurt")
+    cut = delivered(docs.join(small(hurt, SMALL_IDS), "doc_id", "left_semi"), spans).mapInArrow(
+        _cut(window), "doc_id long, rk long, n_removed long, n_spans long, kept binary")
+    if few:
+        cut = cut.unionByName(copies.select("doc_id", "rk", F.col("_n").alias("n_removed"),
+                                            F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept")))
+    return cut
 
 
 def cut_report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
