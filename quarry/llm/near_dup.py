@@ -29,13 +29,14 @@ from pyspark.sql import functions as F
 from quarry.llm.common import require_columns, small, staged
 from quarry.llm.components import components
 
-K = 128
+K = 256  # retained values, 32 bits of each
 KEYED = 48  # of them make the keys of the inverted lists
 #: of the K smallest of a union so many are shared at similarity 0.8, but for a chance below 1e-6
-LEAST_SHARED = 79
+LEAST_SHARED = 171
 BLOCK = 512  # classes of a list compared at once
 
-_EMPTY = np.zeros(0, dtype=np.int64)
+COLUMNS = 4096  # values whose overlaps are counted by one matrix product
+_PAD = np.iinfo(np.int64).max
 
 
 def shingles(text: str | None, size: int) -> set[bytes]:
@@ -61,9 +62,9 @@ def _sketch(size: int):
                 values.sort()
                 sizes.append(len(own))
                 prints.append(digest(values.tobytes()))
-                kept.append(values[:K])
+                kept.append(values[:K] >> 32)
             ends = np.cumsum([0, *map(len, kept)]).astype(np.int32)
-            flat = np.concatenate(kept) if kept else _EMPTY
+            flat = np.concatenate([np.zeros(0, dtype=np.int64), *kept]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
@@ -90,7 +91,7 @@ def _alike(n_a: Column, s_a: Column, n_b: Column, s_b: Column, percent: int) ->
     shared = F.size(F.array_intersect(union, F.array_intersect(s_a, s_b)))
     whole = (n_a <= K) & (n_b <= K) & (F.size(F.array_union(s_a, s_b)) <= K)
     return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent)
-            & F.when(whole, shared * 100 >= F.size(union) * percent).otherwise(shared >= LEAST_SHARED))
+            & F.when(whole, (shared + 1) * 100 >= F.size(union) * percent).otherwise(shared >= LEAST_SHARED))
 
 
 def _verify(size: int, percent: int):
@@ -125,44 +126,70 @@ def _links(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
 def _shared(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
     """The estimate of ``_alike`` for rows of padded sketches."""
     both = np.sort(np.concatenate([a, b], axis=1), axis=1)
-    real = both != np.iinfo(np.int64).max
+    real = both != _PAD
     twice = np.zeros(both.shape, dtype=bool)
     twice[:, 1:] = (both[:, 1:] == both[:, :-1]) & real[:, 1:]
     rank = np.cumsum(~twice & real, axis=1)
     shared = (twice & (rank <= K)).sum(axis=1)
     union = (~twice & real).sum(axis=1)
     whole = (n_a <= K) & (n_b <= K) & (union <= K)
-    return np.where(whole, 100 * shared >= percent * union, shared >= LEAST_SHARED)
+    return np.where(whole, 100 * (shared + 1) >= percent * union, shared >= LEAST_SHARED)
+
+
+def _overlaps(sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of values that rows of ``left`` and ``right`` share."""
+    row = np.repeat(np.arange(len(sketches)), [len(x) for x in sketches])
+    _, column, count = np.unique(np.concatenate(sketches), return_inverse=True, return_counts=True)
+    often = count > 1
+    column = np.where(often[column], (np.cumsum(often) - 1)[column], -1)
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, int(often.sum()), COLUMNS):
+        own = (column >= at) & (column < at + COLUMNS)
+        has = np.zeros((len(sketches), COLUMNS), dtype=np.float32)
+        has[row[own], column[own] - at] = 1
+        total += has[left] @ has[right].T
+    return total
 
 
 def _compare_blocks(percent: int):
-    """Rows sorted by (key, i, j): the classes of one list's blocks i and j."""
+    """Rows sorted by (key, i, j): the classes of one list's blocks i and j.
+
+    Matrix products count all overlaps of two blocks; the estimate on the union
+    sketch decides on the pairs that this leaves.
+    """
     def group(rows: list[tuple]) -> tuple[list[int], list[int]]:
-        ids = np.array([r[3] for r in rows])
-        comp = np.array([r[4] for r in rows])
-        n = np.array([r[5] for r in rows])
-        block = np.array([r[6] for r in rows])
-        sketch = np.full((len(rows), K), np.iinfo(np.int64).max)
+        ids, comp, n, block = (np.array([r[c] for r in rows]) for c in (3, 4, 5, 6))
+        size = np.array([len(r[7]) for r in rows])
+        sketch = np.full((len(rows), K), _PAD)
         for k, r in enumerate(rows):
             sketch[k, :len(r[7])] = r[7]
-        same_block = rows[0][1] == rows[0][2]
+        across = rows[0][1] != rows[0][2]
+        left = np.flatnonzero(block == rows[0][1])
+        right = np.flatnonzero(block == rows[0][2])
+        ok = comp[left][:, None] != comp[right][None, :]
+        ok &= 100 * np.minimum.outer(n[left], n[right]) >= percent * np.maximum.outer(n[left], n[right])
+        if not across:
+            ok = np.triu(ok, 1)
+        if len(rows) > 16 and ok.any():
+            both = _overlaps([r[7] for r in rows], left, right)
+            sizes = np.add.outer(size[left], size[right])
+            whole = np.logical_and.outer(n[left] <= K, n[right] <= K) & (sizes - both <= K)
+            ok &= np.where(whole, (100 + percent) * (both + 1) >= percent * sizes, both >= LEAST_SHARED)
+        x, y = np.nonzero(ok)
+        x, y = left[x], right[y]
         a, b = [], []
-        for k in range(len(rows)):
-            rest = np.arange(k + 1, len(rows))
-            rest = rest[(comp[rest] != comp[k]) & (same_block | (block[rest] != block[k]))
-                        & (100 * np.minimum(n[rest], n[k]) >= percent * np.maximum(n[rest], n[k]))]
-            if len(rest):
-                ok = rest[_shared(np.broadcast_to(sketch[k], (len(rest), K)), sketch[rest],
-                                  np.full(len(rest), n[k]), n[rest], percent)]
-                a += np.minimum(ids[ok], ids[k]).tolist()
-                b += np.maximum(ids[ok], ids[k]).tolist()
+        for at in range(0, len(x), 4096):
+            i, j = x[at:at + 4096], y[at:at + 4096]
+            good = _shared(sketch[i], sketch[j], n[i], n[j], percent)
+            a += np.minimum(ids[i], ids[j])[good].tolist()
+            b += np.maximum(ids[i], ids[j])[good].tolist()
         return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in _with_end(batches):
             a, b = [], []
-            rows = zip(*[c.to_pylist() for c in batch.columns]) if batch is not None else [(None,) * 8]
+            rows = _rows(batch) if batch is not None else [(None,) * 8]
             for r in rows:
                 if held and r[:3] != held[0][:3]:
                     x, y = group(held)
@@ -173,6 +200,12 @@ def _compare_blocks(percent: int):
     return run
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    *plain, sketch = batch.columns
+    flat, ends = sketch.values.to_numpy(), sketch.offsets.to_numpy()
+    return zip(*[c.to_pylist() for c in plain], (flat[x:y].astype(np.int64) for x, y in zip(ends, ends[1:])))
+
+
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
     yield from batches
     yield None
@@ -189,7 +222,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """
     require_columns(docs, "doc_id", "text")
     docs = docs.select("doc_id", "text")
-    rows = staged(docs.mapInArrow(_sketch(size), "doc_id long, n long, digest binary, sketch array<long>"), "sketches")
+    rows = staged(docs.mapInArrow(_sketch(size), "doc_id long, n long, digest binary, sketch array<int>"), "sketches")
     classes = staged(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest", "n").agg(
         F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")), "classes")
 
