@@ -14,15 +14,24 @@ import re
 
 import numpy as np
 
-CACHE_WORDS = 400_000  # pieces a worker keeps; a full cache starts anew
+CACHE_WORDS = 400_000  # pieces of a generation; a worker keeps the last two
 
 #: byte-level: a piece is a word with its leading space, or one line end.
 _BYTE_PIECE = re.compile(r"\n| ?[^ \n]+")
 #: other or repeated white space, a last space, or text of a special token
 _BYTE_ODD = re.compile(r"[^\S \n]|\s\s| \Z|<\|")
-#: word-level: white space only separates
-_WORD_PIECE = re.compile(r"[^ \n\t\r]+")
-_WORD_ODD = re.compile(r"<\|")
+#: word-level: white space only separates; \x1c-\x1f is white space to split() alone
+_WORD_ODD = re.compile(r"<\||[\x1c-\x1f]")
+#: a full stop or comma that ends a run of punctuation, which is one piece
+_GLUED = re.compile(r"(?:[^\w\s]|_)[.,]\s")
+
+
+def _word_pieces(text: str) -> list[str]:
+    """Words; a stop or comma between a letter and white space is a word."""
+    if not _GLUED.search(text):
+        for mark in ".,":
+            text = text.replace(f"{mark} ", f" {mark} ").replace(f"{mark}\n", f" {mark}\n")
+    return text.split()
 
 
 def tokenizer_path(name: str) -> str:
@@ -37,17 +46,43 @@ class Encoder:
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.model.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.piece, self.odd = (_BYTE_PIECE, _BYTE_ODD) if byte_level else (_WORD_PIECE, _WORD_ODD)
+        self.pieces, self.odd = (_BYTE_PIECE.findall, _BYTE_ODD) if byte_level else (_word_pieces, _WORD_ODD)
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        # ids of a byte-level vocabulary that begin with a space
+        self.opens = np.array([t.startswith("\u0120") for t, _ in sorted(
+            self.model.get_vocab().items(), key=lambda x: x[1])]) if byte_level else None
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.kind).tobytes()
 
+    def _encode_spaced(self, words: list[str]) -> list[bytes]:
+        """Words with a leading space, encoded as one text and cut again before
+        every id that begins with a space."""
+        ids = np.array(self.model.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids,
+                       dtype=self.kind)
+        at = np.flatnonzero(self.opens[ids])
+        if len(at) != len(words):
+            return [self._pack(e.ids) for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
+        raw, ends, wide = ids.tobytes(), [*at.tolist()[1:], len(ids)], self.kind.itemsize
+        return [raw[x * wide:y * wide] for x, y in zip(at.tolist(), ends)]
+
     def _learn(self, words: list[str]) -> None:
         if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
-        for i in range(0, len(words), 4096):
-            some = words[i:i + 4096]
+            self.old, self.cache = self.cache, {}
+        new = []
+        for w in words:
+            if w in self.old:
+                self.cache[w] = self.old[w]
+            else:
+                new.append(w)
+        spaced = [w for w in new if w[0] == " "] if self.opens is not None else []
+        for i in range(0, len(spaced), 4096):
+            some = spaced[i:i + 4096]
+            self.cache.update(zip(some, self._encode_spaced(some)))
+        plain = [w for w in new if w not in self.cache] if spaced else new
+        for i in range(0, len(plain), 4096):
+            some = plain[i:i + 4096]
             for w, e in zip(some, self.model.encode_batch_fast(some, add_special_tokens=False)):
                 self.cache[w] = self._pack(e.ids)
 
@@ -57,16 +92,15 @@ class Encoder:
             return b""
         if self.odd.search(text):
             return self._pack(self.model.encode(text, add_special_tokens=False).ids)
-        words = self.piece.findall(text)
+        words = self.pieces(text)
         cache = self.cache
         try:
             return b"".join([cache[w] for w in words])
         except KeyError:
-            self._learn([w for w in dict.fromkeys(words) if w not in cache])
-            if all(w in self.cache for w in words):
-                return b"".join([self.cache[w] for w in words])
-            # the cache was cleared and the text has old words too
-            self._learn([w for w in dict.fromkeys(words) if w not in self.cache])
+            missing = [w for w in dict.fromkeys(words) if w not in cache]
+            if len(cache) + len(missing) > CACHE_WORDS:  # a new generation starts: look all of them up in it
+                missing = list(dict.fromkeys(words))
+            self._learn(missing)
             return b"".join([self.cache[w] for w in words])
 
 
