@@ -33,7 +33,7 @@ K = 256  # retained values, 32 bits of each
 KEYED = 48  # of them make the keys of the inverted lists
 #: of the K smallest of a union so many are shared at similarity 0.8, but for a chance below 1e-6
 LEAST_SHARED = 171
-BLOCK = 512  # classes of a list compared at once
+BLOCK = 1536  # classes of a list compared at once
 
 COLUMNS = 4096  # values whose overlaps are counted by one matrix product
 _PAD = np.iinfo(np.int64).max
