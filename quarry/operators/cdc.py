@@ -2,7 +2,7 @@
 
 MERGE INTO does not run on parquet tables, so a merge is a rewrite:
 
-    result = target ⋉̸ changed_keys  ∪  merge(target ⋉ changed_keys, changes)
+    result = target ⟗ latest change per key, one outcome per row
 
 The change batch is normally small next to the target; its distinct keys
 are what the semi/anti joins look up, so AQE can broadcast them at
@@ -91,10 +91,13 @@ def apply_changes(target: DataFrame, changes_df: DataFrame, key: str,
     """
     cols = [c for c in target.columns if c != key]
     if SEQ not in changes_df.columns:
-        changes_df = changes_df.withColumn(SEQ, F.lit(0))
+        # no order to choose by: a key may change once only
+        once = changes_df.groupBy(key).agg(*[
+            F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"a key changes twice and there is no {SEQ}")))
+            .otherwise(F.max(c)).alias(c) for c in (*cols, ACTION)])
+        changes_df = once.withColumn(SEQ, F.lit(0))
     src = latest_change(changes_df.select(key, *cols, ACTION, SEQ), key)
-    untouched, touched = _split(target, src, key)
-    t = touched.select(key, F.struct(*cols).alias("_t"))
+    t = target.select(key, F.struct(*cols).alias("_t"))
     s = src.select(key, F.struct(*cols).alias("_s"), ACTION)
     j = t.join(s, key, "full_outer")
     matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
@@ -110,7 +113,7 @@ def apply_changes(target: DataFrame, changes_df: DataFrame, key: str,
               .select(key, *[row[c].alias(c) for c in cols]))
     counts = j.agg(*[F.count(F.when(F.col("_outcome") == o, 1)).alias(f"rows_{o}")
                      for o in ("inserted", "updated", "deleted")])
-    return MergeResult(untouched.select(key, *cols).unionByName(merged), counts)
+    return MergeResult(merged, counts)
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, check_duplicates: bool = True) -> MergeResult:

@@ -37,5 +37,5 @@ def cleanse(raw: DataFrame, schema: StructType, key: str, seq: str) -> Layers:
     others = [f.name for f in schema.fields if f.name != key]
     latest = good.groupBy(key).agg(F.max(F.struct(F.col(seq), *[F.col(c) for c in others])).alias("_l"))
     cleansed = latest.select(key, *[F.col(f"_l.{c}").alias(c) for c in others])
-    rejects = raw.join(typed.filter(F.col("_bad")).select(key, seq), [key, seq], "left_semi")
+    rejects = raw.filter(bad)
     return Layers(cleansed, rejects)

@@ -32,15 +32,17 @@ def transaction_features(tx: DataFrame) -> DataFrame:
 NUMERIC = ["amount", "tx_year", "tx_month", "tx_dow"]
 
 
-def classifier_pipeline(target: str, seed: int = 42, trees: int = 20, depth: int = 5) -> Pipeline:
-    """CLASSIFICATION(INPUT_DATA, TARGET_COLNAME, ON_ERROR='SKIP')."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="skip") for c in CATEGORICAL]
+def classifier_pipeline(target: str, seed: int = 42, trees: int = 20, depth: int = 5, bins: int = 32) -> Pipeline:
+    """Indexers, label indexer, assembler, forest. Categories unseen in training
+    share one index, so scoring keeps every row; ``bins`` must cover the
+    largest category list plus that index."""
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in CATEGORICAL]
     label = StringIndexer(inputCol=f"{target}_str", outputCol="label", handleInvalid="skip",
                           stringOrderType="alphabetAsc")
     asm = VectorAssembler(inputCols=NUMERIC + [f"{c}_idx" for c in CATEGORICAL], outputCol="features",
-                          handleInvalid="skip")
+                          handleInvalid="keep")
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth,
-                                seed=seed, maxBins=64)
+                                seed=seed, maxBins=bins)
     return Pipeline(stages=[*idx, label, asm, rf])
 
 
@@ -48,15 +50,24 @@ def prepare(tx: DataFrame, target: str) -> DataFrame:
     return transaction_features(tx).withColumn(f"{target}_str", F.col(target).cast("string"))
 
 
+def trainable(data: DataFrame, target: str) -> DataFrame:
+    """Rows with a label and all numbers; the others are skipped in training."""
+    return data.dropna(subset=[*NUMERIC, f"{target}_str"])
+
+
 def train(tx: DataFrame, target: str = "is_flagged", seed: int = 42) -> PipelineModel:
-    return classifier_pipeline(target, seed).fit(prepare(tx, target))
+    data = trainable(prepare(tx, target), target)
+    lists = Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"{c}_n", handleInvalid="keep")
+                             for c in CATEGORICAL]).fit(data)
+    bins = max(32, *[len(s.labels) + 1 for s in lists.stages])
+    return classifier_pipeline(target, seed, bins=bins).fit(data)
 
 
 def training_log(model: PipelineModel, tx: DataFrame, target: str = "is_flagged") -> DataFrame:
     """SHOW_TRAINING_LOGS: one row per stage with rows used/skipped."""
     data = prepare(tx, target)
     total = data.count()
-    used = model.transform(data).count()
+    used = trainable(data, target).count()
     spark = tx.sparkSession
     rows = [(i, type(s).__name__, total, used, total - used) for i, s in enumerate(model.stages)]
     return spark.createDataFrame(rows, "stage int, stage_type string, rows_in long, rows_used long, "
@@ -68,20 +79,24 @@ def class_labels(model: PipelineModel) -> list[str]:
 
 
 def predict(model: PipelineModel, tx: DataFrame, target: str = "is_flagged") -> DataFrame:
-    """PREDICT(OBJECT_CONSTRUCT(*)): every input column plus
-    ``predictions = {class, probability: {class: p}}``."""
+    """Every input row and column plus ``predictions = {class, probability:
+    {class: p}}``; no label is needed. A row without all numbers has NULL there."""
     labels = class_labels(model)
-    out = model.transform(prepare(tx, target))
+    scorer = PipelineModel(stages=[s for k, s in enumerate(model.stages) if k != len(CATEGORICAL)])
+    out = scorer.transform(transaction_features(tx))
+    whole = F.lit(True)
+    for c in NUMERIC:
+        whole = whole & F.col(c).isNotNull()
     p = vector_to_array("probability")
     probs = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), p[i])])
     cls = F.element_at(F.array(*[F.lit(lab) for lab in labels]), F.col("prediction").cast("int") + 1)
     keep = [c for c in tx.columns]
-    return out.select(*keep, F.struct(cls.alias("class"), probs.alias("probability")).alias("predictions"))
+    return out.select(*keep, F.when(whole, F.struct(cls.alias("class"), probs.alias("probability"))).alias("predictions"))
 
 
 def parse_predictions(pred: DataFrame, digits: int = 3) -> DataFrame:
-    """``* EXCLUDE predictions, predictions:class, round(predictions
-    ['probability'][class], 3)`` — the subscript key is a column."""
+    """Replace ``predictions`` by its class and that class's probability,
+    rounded; the key looked up in the map is itself a column."""
     scale = 10 ** digits
     cls = F.col("predictions.class")
     p = F.col("predictions.probability")[cls]
@@ -123,47 +138,42 @@ def class_metrics(scored: DataFrame, label: str = "label", prediction: str = "pr
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(kind)
 
     agg = cells.groupBy("cls").agg(total("tp"), total("fp"), total("fn"))
-    prec = F.col("tp") / (F.col("tp") + F.col("fp"))
-    rec = F.col("tp") / (F.col("tp") + F.col("fn"))
+    # a class never predicted (or never actual) has 0 there, and F1 0
+    share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    prec = share(F.col("tp"), F.col("tp") + F.col("fp"))
+    rec = share(F.col("tp"), F.col("tp") + F.col("fn"))
     return agg.select(F.col("cls").alias("class"), prec.alias("precision"), rec.alias("recall"),
-                      (2 * prec * rec / (prec + rec)).alias("f1"),
+                      share(2 * prec * rec, prec + rec).alias("f1"),
                       (F.col("tp") + F.col("fn")).alias("support"))
 
 
-def auc(scored: DataFrame, label: str, score: str, rows_per_bucket: int = 2_000_000) -> DataFrame:
-    """Exact ROC AUC = U / (P·N), U = Σ_pos (#neg below + ½ #neg tied).
+def auc(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """Exact ROC AUC = U / (P·N), U = Σ_pos (#neg below + ½ #neg tied); NULL if
+    there is only one class.
 
     1. one row per distinct score with its positive/negative counts
        (partial aggregation);
-    2. approximate quantiles cut the distinct scores into buckets sized to
-       ``rows_per_bucket``; per-bucket negative totals (one row per bucket)
-       give each bucket's offset;
+    2. approximate quantiles cut the distinct scores into as many buckets as
+       the session has shuffle partitions, at any size; per-bucket negative
+       totals (one row per bucket) give each bucket's offset;
     3. a window inside each bucket adds the negatives below each score.
     """
     d = scored.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label).cast("long"))).alias("neg"))
-    n_scores = d.count()
-    k = max(1, math.ceil(n_scores / rows_per_bucket))
-    if k > 1:
-        cuts = sorted(set(d.approxQuantile("s", [i / k for i in range(1, k)], 0.001)))
-        splits = [-math.inf] + cuts + [math.inf]
-        d = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(d)
-    else:
-        d = d.withColumn("b", F.lit(0.0))
+    k = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = sorted(set(d.approxQuantile("s", [i / k for i in range(1, k)], 0.001)))
+    d = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="s", outputCol="b").transform(d)
     w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    if k > 1:
-        # one row per bucket (k rows, a proven bound) -> offsets, broadcast back
-        totals = d.groupBy("b").agg(F.sum("neg").alias("bneg"))
-        offsets = totals.select("b", F.coalesce(F.sum("bneg").over(
-            Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
-        d = d.join(F.broadcast(offsets), "b")
-    else:
-        d = d.withColumn("off", F.lit(0).cast("long"))
+    # one row per bucket -> offsets, joined back
+    totals = d.groupBy("b").agg(F.sum("neg").alias("bneg"))
+    offsets = totals.select("b", F.coalesce(F.sum("bneg").over(
+        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    d = d.join(offsets, "b")
     ranked = d.withColumn("below", F.col("off") + F.coalesce(F.sum("neg").over(w), F.lit(0)))
     u2 = ranked.agg(F.sum(F.col("pos") * (2 * F.col("below") + F.col("neg"))).alias("u2"),
                     F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    return u2.select((F.col("u2") / (2 * F.col("p") * F.col("n"))).alias("auc"), "p", "n")
+    return u2.select(F.try_divide("u2", 2 * F.col("p") * F.col("n")).alias("auc"), "p", "n")
 
 
 def global_metrics(scored: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -195,11 +205,11 @@ def global_metrics(scored: DataFrame, label: str = "label", prediction: str = "p
 
 # -------------------------------------------------------------- text (L09) --
 def text_classifier(docs: DataFrame, text: str = "text", label: str = "label",
-                    features: int = 1 << 18, seed: int = 42) -> PipelineModel:
+                    features: int = 1 << 18) -> PipelineModel:
     """Sentiment-style text classification: tokens → hashed term
-    frequencies → logistic regression. Whole texts are tokenised."""
-    tok = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=r"\W+", minTokenLength=2)
+    frequencies → logistic regression. Whole texts are tokenised, letters of
+    any script and one-letter words included."""
+    tok = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=r"[^\p{L}\p{N}]+", minTokenLength=1)
     tf = HashingTF(inputCol="tokens", outputCol="features", numFeatures=features)
     lr = LogisticRegression(labelCol=label, featuresCol="features", maxIter=20, regParam=0.01)
-    _ = seed
     return Pipeline(stages=[tok, tf, lr]).fit(docs)

@@ -41,16 +41,19 @@ _ROOTS: dict[str, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) do we
-    create a private folder and register it as the checkpoint dir, so
-    lineage cuts and staged files always land where every executor reads.
+    Read from the session, or taken from a checkpoint folder already set. Only
+    a local run may go without: it gets a private folder. On a cluster that
+    folder would be seen by one machine only, so there its absence is an error.
     """
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _ROOTS:
         return _ROOTS[app]
     root = sc.getConf().get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
+    root = root or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quarry-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

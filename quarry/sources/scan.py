@@ -43,8 +43,6 @@ class CsvFormat:
         o["quote"] = self.enclosure if self.enclosure else "\u0000"
         if self.escape:
             o["escape"] = self.escape
-        if not self.empty_field_as_null:
-            o["emptyValue"] = ""
         return o
 
     def writer_options(self, header: bool = True) -> dict[str, str]:
@@ -75,15 +73,73 @@ def apply_null_if(df: DataFrame, values: tuple[str, ...]) -> DataFrame:
     return df.select(*cols)
 
 
+def _without_first_lines(n: int):
+    """Drop the first ``n`` lines of every file: rows come split by split, in
+    order, and only the split at byte 0 holds a file's first lines."""
+    def run(batches):
+        import pyarrow as pa
+        held, seen = None, 0
+        for batch in batches:
+            keep = []
+            for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist()):
+                if (path, start) != held:
+                    held, seen = (path, start), 0
+                seen += 1
+                keep.append(start > 0 or seen > n)
+            yield batch.select(["value"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _skip_lines(spark: SparkSession, path: str, fmt: CsvFormat, schema: StructType | None) -> DataFrame:
+    """SKIP_HEADER above 1: lines dropped by position, the others parsed as CSV."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"),
+                                         F.col("_metadata.file_block_start").alias("start"))
+    options = {**fmt.reader_options(), "header": "false"}
+    if schema is None:
+        names = spark.read.options(**options).csv(path).columns
+        schema = StructType([StructField(c, StringType(), True) for c in names])
+    rest = lines.mapInArrow(_without_first_lines(fmt.skip_header), "value string")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return rest.select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
+
+
+def _typed_null_if(df: DataFrame, schema: StructType, values: tuple[str, ...], sep: str,
+                   corrupt_col: str | None) -> DataFrame:
+    """Several null tokens in typed columns: columns read as text, tokens to
+    NULL, then cast; a row with a value that does not cast is corrupt."""
+    text = {f.name: F.col(f"`{f.name}`") for f in schema.fields}
+    kept = {n: F.when(c.isin(*values), F.lit(None)).otherwise(c) for n, c in text.items()}
+    cast = {f.name: kept[f.name].try_cast(f.dataType) for f in schema.fields}
+    cols = [cast[f.name].alias(f.name) for f in schema.fields]
+    if corrupt_col:
+        bad = F.lit(False)
+        for n in text:
+            bad = bad | (kept[n].isNotNull() & cast[n].isNull())
+        cols.append(F.when(bad, F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in text.values()])).alias(corrupt_col))
+    return df.select(*cols)
+
+
 def read_csv(spark: SparkSession, path: str, fmt: CsvFormat,
              schema: StructType | None = None, corrupt_col: str | None = None) -> DataFrame:
+    if fmt.skip_header > 1:
+        return apply_null_if(_skip_lines(spark, path, fmt, schema), fmt.null_if)
     r = spark.read.options(**fmt.reader_options())
+    typed = schema is not None and any(not isinstance(f.dataType, StringType) for f in schema.fields)
+    if typed and len(fmt.null_if) == 1:
+        r = r.option("nullValue", fmt.null_if[0])
+    elif typed and fmt.null_if:
+        raw = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+        return _typed_null_if(r.schema(raw).csv(path), schema, fmt.null_if, fmt.delimiter, corrupt_col)
     if schema is not None:
         if corrupt_col:
             schema = StructType(schema.fields + [StructField(corrupt_col, StringType(), True)])
             r = r.option("columnNameOfCorruptRecord", corrupt_col)
         r = r.schema(schema)
     df = r.csv(path)
+    if not fmt.empty_field_as_null:
+        df = df.select(*[F.coalesce(F.col(f"`{f.name}`"), F.lit("")).alias(f.name)
+                         if isinstance(f.dataType, StringType) and f.name != corrupt_col else F.col(f"`{f.name}`")
+                         for f in df.schema.fields])
     return apply_null_if(df, fmt.null_if)
 
 
@@ -98,18 +154,23 @@ def scan_csv_positional(spark: SparkSession, path: str, fmt: CsvFormat,
 
 
 def split_escaped(line: Column, delimiter: str, escape: str, n: int) -> list[Column]:
-    """Fields of a line whose delimiter may be escaped (``a\\,b,c``)."""
+    """Fields of a line whose delimiter may be escaped (``a\\,b,c``); the escape
+    character escapes itself, escape + N is NULL, missing fields are NULL."""
     import re
     d, e = re.escape(delimiter), re.escape(escape)
-    parts = F.split(line, f"(?<!{e}){d}")
-    return [F.regexp_replace(parts.getItem(i), f"{e}({d})", "$1") for i in range(n)]
+    # a delimiter after an even number of escapes (up to 64) ends a field
+    parts = F.split(line, f"(?<=(?<!{e})(?:{e}{e}){{0,32}}){d}")
+    field = lambda i: F.get(parts, F.lit(i))
+    return [F.when(field(i) == escape + "N", F.lit(None)).otherwise(F.regexp_replace(field(i), f"{e}(.)", "$1"))
+            for i in range(n)]
 
 
 def scan_escaped(spark: SparkSession, path: str, fmt: CsvFormat, names: list[str]) -> DataFrame:
-    """Delimited text whose delimiters are escaped rather than enclosed."""
+    """Delimited text whose delimiters are escaped rather than enclosed. The
+    header line is the one that equals the joined names."""
     lines = spark.read.text(path)
     if fmt.skip_header:
-        lines = lines.filter(~F.col("value").startswith(names[0]))
+        lines = lines.filter(F.col("value") != fmt.delimiter.join(names))
     fields = split_escaped(F.col("value"), fmt.delimiter, fmt.escape_unenclosed or "\\", len(names))
     return lines.select(*[c.alias(n) for c, n in zip(fields, names)])
 
@@ -117,8 +178,10 @@ def scan_escaped(spark: SparkSession, path: str, fmt: CsvFormat, names: list[str
 def write_escaped(df: DataFrame, path: str, fmt: CsvFormat) -> None:
     import re
     d, e = fmt.delimiter, fmt.escape_unenclosed or "\\"
-    esc = [F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), re.escape(d), (e + d).replace("\\", "\\\\"))
-           for c in df.columns]
+    # the escape character first, then the delimiter; NULL is escape + N
+    quoted = lambda s: s.replace("\\", "\\\\")  # noqa: E731  (in a replacement text)
+    esc = [F.coalesce(F.regexp_replace(F.regexp_replace(F.col(c).cast("string"), re.escape(e), quoted(e + e)),
+                                       re.escape(d), quoted(e + d)), F.lit(e + "N")) for c in df.columns]
     header = d.join(df.columns)
     body = df.select(F.concat_ws(d, *esc).alias("value"))
     if fmt.skip_header:

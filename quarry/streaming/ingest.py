@@ -9,14 +9,15 @@
 * the stored procedure = a ``foreachBatch`` function, made idempotent by
   recording the batch id it committed.
 
-Tables written by merges are versioned folders plus a one-row pointer, so
-readers never see a half-written table and a replayed batch is a no-op.
+Tables written by merges are versioned folders plus one pointer row per
+commit, appended and never overwritten, so readers never see a half-written table and a replayed batch is a no-op.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,9 +70,12 @@ class VersionedTable:
 
     def state(self) -> tuple[str | None, int | None]:
         try:
-            row = self.spark.read.json(self._pointer).first()
-        except Exception:  # noqa: BLE001  (no pointer yet)
+            rows = self.spark.read.schema("version string, batch_id long").json(self._pointer)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None, None
+        row = rows.orderBy(F.desc("batch_id")).first()
         return (row["version"], int(row["batch_id"])) if row else (None, None)
 
     def read(self) -> DataFrame:
@@ -89,5 +93,5 @@ class VersionedTable:
         version = f"{self.path}/v{batch_id + 1:09d}"
         df.write.mode("overwrite").parquet(version)
         (self.spark.createDataFrame([(version, batch_id)], "version string, batch_id long")
-         .coalesce(1).write.mode("overwrite").json(self._pointer))
+         .coalesce(1).write.mode("append").json(self._pointer))
         return True
