@@ -8,7 +8,7 @@ from quarry.functions.scalars import round_half_up
 
 from quarry.functions import scalars
 from quarry.operators import relational as rel
-from quarry.plans.oracle_views import with_views
+from quarry.plans.oracle_views import view, with_views
 from quarry.plans.registry import query
 
 RISK_SQL = ("CASE WHEN amount > 500 THEN 'High' WHEN amount BETWEEN 100 AND 200 THEN 'Medium' "
@@ -36,29 +36,25 @@ def p04_star_plus(cat):
     return rel.with_risk_level(cat.b_transactions)
 
 
-@query("j04_location_shift", with_views(
-    "SELECT tr.transaction_id, tr.customer_id, tr.location_city, cs.city, "
-    "CASE WHEN tr.location_city != cs.city THEN 'shift_in_location' ELSE 'no_shift' END AS location_flag "
-    "FROM b_transactions tr JOIN b_customers cs ON tr.customer_id = cs.customer_id",
-    "b_transactions", "b_customers"))
+#: a transaction beside its customer's home city
+view("places", ("b_transactions", "b_customers"), """
+SELECT transaction_id, customer_id, location_city, city, location_city <> city AS away
+FROM b_transactions JOIN b_customers USING (customer_id)""")
+FLAG_SQL = "if(away, 'shift_in_location', 'no_shift') AS location_flag"
+
+
+@query("j04_location_shift", with_views(f"SELECT * EXCLUDE (away), {FLAG_SQL} FROM places", "places"))
 def j04_location_shift(cat):
     return rel.location_shift(cat.b_transactions, cat.b_customers)
 
 
-@query("u02_location", with_views(
-    "SELECT CASE WHEN tr.location_city != cs.city THEN 'shift_in_location' ELSE 'no_shift' END AS location_flag, "
-    "count(*) AS transactions "
-    "FROM b_transactions tr JOIN b_customers cs ON tr.customer_id = cs.customer_id GROUP BY 1",
-    "b_transactions", "b_customers"))
+@query("u02_location", with_views(f"SELECT {FLAG_SQL}, count(*) AS transactions FROM places GROUP BY ALL", "places"))
 def u02_location(cat):
     return rel.location_shift(cat.b_transactions, cat.b_customers).groupBy("location_flag").agg(
         F.count(F.lit(1)).alias("transactions"))
 
 
-@query("p11_inequality", with_views(
-    "SELECT tr.transaction_id, tr.location_city, cs.city FROM b_transactions tr "
-    "JOIN b_customers cs ON tr.customer_id = cs.customer_id WHERE tr.location_city != cs.city",
-    "b_transactions", "b_customers"))
+@query("p11_inequality", with_views("SELECT transaction_id, location_city, city FROM places WHERE away", "places"))
 def p11_inequality(cat):
     j = cat.b_transactions.join(cat.b_customers.select("customer_id", "city"), "customer_id")
     return j.filter(F.col("location_city") != F.col("city")).select("transaction_id", "location_city", "city")

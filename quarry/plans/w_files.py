@@ -276,22 +276,29 @@ def s07_copy_into(cat):
                           f"{work}/_stage", on_error="continue").loaded
 
 
-@query("s16_typed_load", with_views("SELECT * FROM b_customers", "b_customers",
-                                    dates=("date_of_birth", "customer_since")))
-def s16_typed_load(cat):
-    """All five banking tables staged and loaded against their declared
-    schemas; the customers table is returned."""
-    stage = scratch(cat.spark, "bank-stage")
-    work = scratch(cat.spark, "raw")
-    sources = {"transactions": cat.b_transactions, "customers": cat.b_customers,
-               "accounts": cat.b_accounts, "credit_data": cat.b_credit, "watchlist": cat.b_watchlist}
-    loaded = {}
-    for name, df in sources.items():
-        src = sinks.unload_csv(df, f"{stage}/{name}")
-        loaded[name] = load.copy_into(cat.spark, src, sinks.GZIP_CSV, SCHEMAS[name], f"{work}/{name}",
-                                      f"{work}/_stage_{name}", on_error="continue").loaded
-    assert set(loaded) == set(KEYS) - {"person_master"}
-    return loaded["customers"]
+S16 = {"customers": ("s16_typed_load", "b_customers", {"dates": ("date_of_birth", "customer_since")}),
+       "transactions": ("s16_transactions", "b_transactions", {"ts": ("transaction_date",)}),
+       "accounts": ("s16_accounts", "b_accounts", {"dates": ("open_date",)}),
+       "credit_data": ("s16_credit", "b_credit", {}),
+       "watchlist": ("s16_watchlist", "b_watchlist", {"dates": ("listed_date",)})}
+assert set(S16) == set(KEYS) - {"person_master"}
+
+
+def _register_typed_load(table: str) -> None:
+    name, source, temporal = S16[table]
+
+    def run(cat):
+        src = sinks.unload_csv(getattr(cat, source), f"{scratch(cat.spark, 'bank-stage')}/{table}")
+        work = scratch(cat.spark, "raw")
+        return load.copy_into(cat.spark, src, sinks.GZIP_CSV, SCHEMAS[table], f"{work}/{table}",
+                              f"{work}/_stage", on_error="continue").loaded
+
+    run.__doc__ = f"The banking table {table} staged and loaded against its declared schema (S16)."
+    query(name, with_views(f"SELECT * FROM {source}", source, **temporal))(run)
+
+
+for _t in S16:
+    _register_typed_load(_t)
 
 
 @query("s15_append", with_views(

@@ -7,87 +7,88 @@ from pyspark.sql import functions as F
 from quarry.functions.scalars import round_half_up
 
 from quarry.operators import relational as rel
-from quarry.plans.oracle_views import with_views
+from quarry.plans.oracle_views import view, with_views
 from quarry.plans.registry import query
 
-INFO_STATS = ("c_info", "c_stats")
-JOIN = "FROM c_info it JOIN c_stats st ON it.primary_key = st.primary_key"
+view("players", ("c_info", "c_stats"), """
+SELECT *, coalesce(name, username) AS shown, CAST(fide AS DOUBLE) AS rating
+FROM c_info NATURAL JOIN c_stats""")
+
+
+def best_sql(measure: str, *columns: str) -> str:
+    """Of the players with the highest ``measure`` the one whose username comes first."""
+    return (f"SELECT {', '.join(columns)} FROM players QUALIFY row_number() OVER "
+            f"(ORDER BY {measure} DESC NULLS LAST, username) = 1")
+
+
+def mean_sql(column: str, out: str) -> str:
+    return f"floor(avg({column}) * 10000 + 0.5) / 10000 AS {out}"
 
 
 def r4(c):
     return round_half_up(c, 4)
 
 
-@query("o01_best_blitz", with_views(
-    f"SELECT username {JOIN} ORDER BY st.last_blitz DESC NULLS LAST, username LIMIT 1", *INFO_STATS))
-def o01_best_blitz(cat):
-    return rel.best_player(cat.c_info, cat.c_stats, "last_blitz")
+def _register_best(mode: str) -> None:
+    measure = f"last_{mode}"
 
+    def run(cat):
+        return rel.best_player(cat.c_info, cat.c_stats, measure)
 
-@query("o01_best_bullet", with_views(
-    f"SELECT username {JOIN} ORDER BY st.last_bullet DESC NULLS LAST, username LIMIT 1", *INFO_STATS))
-def o01_best_bullet(cat):
-    return rel.best_player(cat.c_info, cat.c_stats, "last_bullet")
+    run.__doc__ = f"The player with the highest {mode} rating (O01)."
+    query(f"o01_best_{mode}", with_views(best_sql(measure, "username"), "players"))(run)
 
 
-@query("o01_best_rapid", with_views(
-    f"SELECT username {JOIN} ORDER BY st.last_rapid DESC NULLS LAST, username LIMIT 1", *INFO_STATS))
-def o01_best_rapid(cat):
-    return rel.best_player(cat.c_info, cat.c_stats, "last_rapid")
+MODES = ("blitz", "bullet", "rapid")
+for _m in MODES:
+    _register_best(_m)
 
 
-@query("o02_best_named", with_views(
-    f"SELECT COALESCE(it.name, it.username) AS player_name, CAST(st.fide AS DOUBLE) AS fide {JOIN} "
-    "ORDER BY st.fide DESC NULLS LAST, username LIMIT 1", *INFO_STATS))
+@query("o02_best_named", with_views(best_sql("rating", "shown AS player_name", "rating AS fide"), "players"))
 def o02_best_named(cat):
     return rel.best_named(cat.c_info, cat.c_stats).withColumn("fide", F.col("fide").cast("double"))
 
 
 @query("o03_best_live", with_views(
-    "SELECT it.username, CAST(st.fide AS DOUBLE) AS fide FROM c_list lt "
-    "JOIN c_info it ON lt.username = it.username "
-    "JOIN c_stats st ON it.primary_key = st.primary_key "
-    "WHERE lt.is_live ORDER BY st.fide DESC NULLS LAST, it.username LIMIT 1", "c_list", *INFO_STATS))
+    "SELECT username, rating AS fide FROM players SEMI JOIN (FROM c_list WHERE is_live) AS live USING (username) "
+    "QUALIFY row_number() OVER (ORDER BY rating DESC NULLS LAST, username) = 1", "c_list", "players"))
 def o03_best_live(cat):
     return rel.best_live(cat.c_list, cat.c_info, cat.c_stats).withColumn("fide", F.col("fide").cast("double"))
 
 
 @query("ag02_status_avgs", with_views(
-    "SELECT status, floor((avg(last_blitz)) * 10000 + 0.5) / 10000 AS avg_blitz_elo, floor((avg(last_bullet)) * 10000 + 0.5) / 10000 AS avg_bullet_elo, "
-    "floor((avg(last_rapid)) * 10000 + 0.5) / 10000 AS avg_rapid_elo, floor((avg(fide)) * 10000 + 0.5) / 10000 AS avg_fide_elo "
-    f"{JOIN} WHERE status IN ('premium', 'staff', 'basic') GROUP BY status", *INFO_STATS))
+    "SELECT status, " + ", ".join(mean_sql(f"last_{m}", f"avg_{m}_elo") for m in MODES)
+    + f", {mean_sql('rating', 'avg_fide_elo')} FROM players GROUP BY ALL "
+    "HAVING status IN ('basic', 'premium', 'staff')", "players"))
 def ag02_status_avgs(cat):
     df = rel.status_averages(cat.c_info, cat.c_stats)
     return df.select("status", *[r4(c).alias(c) for c in df.columns[1:]])
 
 
 @query("ag03_titled_count_avg", with_views(
-    f"SELECT count(*) AS num_pro_players, floor((avg(fide)) * 10000 + 0.5) / 10000 AS avg_pro_elo {JOIN} WHERE title IS NOT NULL",
-    *INFO_STATS))
+    f"SELECT count(title) AS num_pro_players, {mean_sql('CASE WHEN title IS NOT NULL THEN rating END', 'avg_pro_elo')} "
+    "FROM players", "players"))
 def ag03_titled_count_avg(cat):
     df = rel.titled_summary(cat.c_info, cat.c_stats)
     return df.select("num_pro_players", r4("avg_pro_elo").alias("avg_pro_elo"))
 
 
 @query("ag04_title_avg", with_views(
-    f"SELECT title, floor((avg(fide)) * 10000 + 0.5) / 10000 AS avg_fide_elo {JOIN} GROUP BY title", *INFO_STATS))
+    f"SELECT title, {mean_sql('rating', 'avg_fide_elo')} FROM players GROUP BY ALL", "players"))
 def ag04_title_avg(cat):
     df = rel.title_averages(cat.c_info, cat.c_stats)
     return df.select("title", r4("avg_fide_elo").alias("avg_fide_elo"))
 
 
 @query("j01_inner", with_views(
-    "SELECT it.username, it.status, st.last_blitz, st.last_bullet, CAST(st.fide AS DOUBLE) AS fide "
-    + JOIN, *INFO_STATS))
+    "SELECT username, status, last_blitz, last_bullet, rating AS fide FROM players", "players"))
 def j01_inner(cat):
     return rel.players(cat.c_info, cat.c_stats).select(
         "username", "status", "last_blitz", "last_bullet", F.col("fide").cast("double").alias("fide"))
 
 
 @query("j02_three_way", with_views(
-    "SELECT it.username, lt.is_live, it.title, CAST(st.fide AS DOUBLE) AS fide FROM c_list lt "
-    "JOIN c_info it ON lt.username = it.username JOIN c_stats st ON it.primary_key = st.primary_key",
-    "c_list", *INFO_STATS))
+    "SELECT username, is_live, title, rating AS fide FROM players JOIN c_list USING (username)", "c_list", "players"))
 def j02_three_way(cat):
     j = cat.c_list.join(cat.c_info, "username").join(cat.c_stats, "primary_key")
     return j.select("username", "is_live", "title", F.col("fide").cast("double").alias("fide"))

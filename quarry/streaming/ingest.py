@@ -10,7 +10,8 @@
   recording the batch id it committed.
 
 Tables written by merges are versioned folders plus one pointer row per
-commit, appended and never overwritten, so readers never see a half-written table and a replayed batch is a no-op.
+commit, appended and never overwritten, so readers never see a half-written
+table and a replayed batch is a no-op. Plain inserts have a folder per batch.
 """
 
 from __future__ import annotations
@@ -57,6 +58,17 @@ def progress_rows(spark: SparkSession, q: StreamingQuery, run_id: int) -> DataFr
     return spark.createDataFrame(rows, "run_id int, batch_id long, num_input_rows long, started string")
 
 
+def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """INSERT of one micro-batch: its rows have a folder of their own, so a
+    batch that is run again after a failure replaces its rows."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id:09d}")
+
+
+def appended(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all batches that ``append_batch`` wrote."""
+    return spark.read.parquet(path).drop("batch_id")
+
+
 class VersionedTable:
     """A table folder of immutable versions plus a pointer row naming the
     live one and the last batch id that produced it."""
