@@ -26,7 +26,9 @@ class CsvFormat:
 
     ``enclosure``: FIELD_OPTIONALLY_ENCLOSED_BY; ``escape``: escape char for
     the enclosure; ``escape_unenclosed``: escape char for the delimiter in
-    unquoted fields (handled by a regex split, JVM side).
+    unquoted fields (handled by a regex split, JVM side); ``multi_line``:
+    enclosed fields may hold line ends, which costs the splitting of plain
+    files (gzip files are read whole anyway).
     """
     delimiter: str = ","
     compression: str = "auto"
@@ -36,6 +38,7 @@ class CsvFormat:
     skip_header: int = 0
     null_if: tuple[str, ...] = field(default_factory=tuple)
     empty_field_as_null: bool = True
+    multi_line: bool = False
 
     def reader_options(self) -> dict[str, str]:
         o = {"sep": self.delimiter, "header": "true" if self.skip_header else "false",
@@ -43,10 +46,14 @@ class CsvFormat:
         o["quote"] = self.enclosure if self.enclosure else "\u0000"
         if self.escape:
             o["escape"] = self.escape
+        if self.multi_line:
+            o["multiLine"] = "true"
         return o
 
     def writer_options(self, header: bool = True) -> dict[str, str]:
-        o = {"sep": self.delimiter, "header": "true" if header else "false"}
+        # Spark's writer trims strings unless told otherwise
+        o = {"sep": self.delimiter, "header": "true" if header else "false",
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
         comp = self.compression.lower()
         if comp not in ("auto", "none"):
             o["compression"] = comp

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.sources.scan import CsvFormat
 
-GZIP_CSV = CsvFormat(compression="gzip", enclosure='"', skip_header=1)
+GZIP_CSV = CsvFormat(compression="gzip", enclosure='"', escape='"', skip_header=1, multi_line=True)
 
 
 def unload_csv(df: DataFrame, path: str, fmt: CsvFormat = GZIP_CSV, header: bool = True,

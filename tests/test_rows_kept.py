@@ -45,3 +45,12 @@ def test_rejects_keep_padded_and_null_keys(spark):
     raw = spark.createDataFrame([(" 1 ", "x", 1), (None, "y", 2), ("3", "4", 3)], "k string, n string, s long")
     lay = cleanse(raw, StructType([StructField("k", StringType()), StructField("n", IntegerType())]), "k", "s")
     assert lay.rejects.count() == 2 and lay.cleansed.count() == 1
+
+
+def test_unload_round_trip_keeps_spaces_quotes_and_line_ends(spark, tmp_path):
+    from quarry.sources import sinks
+    rows = [("1", "  padded "), ("2", "two\nlines"), ("3", 'a "quote", and \\'), ("4", None)]
+    df = spark.createDataFrame(rows, "id string, v string")
+    path = sinks.unload_csv(df, str(tmp_path / "u"))
+    back = spark.read.options(**sinks.GZIP_CSV.reader_options()).schema(df.schema).csv(path)
+    assert sorted(map(tuple, back.collect())) == rows

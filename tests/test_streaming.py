@@ -38,3 +38,39 @@ def test_person_flow_second_wave_updates(cat):
     assert m.count() == first                      # updates, no duplicates
     moved = m.filter(F.col("location").endswith("(moved)")).count()
     assert moved == cat.persons.filter(F.col("c_custkey") % 3 == 0).count()
+
+
+def test_replayed_batch_adds_no_rows(cat):
+    pipe = w_streaming.CsvPipe(cat)
+    pipe.run_id = 1
+    rows = cat.b_transactions.withColumns({w_streaming.CORRUPT: F.lit(None).cast("string"), "_file": F.lit("f")})
+    pipe._batch(rows, 0)
+    pipe._batch(rows, 0)                           # written, but the offset was not committed
+    assert pipe.table().count() == cat.b_transactions.count()
+
+
+def test_marts_follow_a_crash_after_the_master(spark, cat):
+    flow = w_streaming.PersonFlow(cat)
+    flow.land(1)
+    docs = spark.read.option("singleVariantColumn", "person").option("recursiveFileLookup", "true") \
+        .json(flow.landing).withColumn("_file", F.lit("f"))
+    whole = flow.loc_mart.commit
+
+    def crash(*_):
+        raise RuntimeError("lost")
+    flow.loc_mart.commit = crash
+    try:
+        flow._batch(docs, 0)
+    except RuntimeError:
+        pass
+    flow.loc_mart.commit = whole
+    assert flow.loc_mart.state() == (None, None)
+    flow._batch(docs, 0)
+    assert flow.loc_mart.read().count() == flow.master.read().count() == cat.persons.count()
+
+
+def test_broken_changes_are_rejected_not_merged(spark, cat):
+    flow = w_streaming.banking_flow(cat, "customers")
+    updates = cat.b_customers.filter("CAST(customer_id AS BIGINT) % 10 = 1").count()
+    assert ingest.appended(spark, flow.rejects).count() == updates
+    assert flow.target.read().filter("customer_id LIKE 'bad%'").count() == 0
