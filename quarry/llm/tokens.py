@@ -26,6 +26,20 @@ _WORD_ODD = re.compile(r"<\||[\x1c-\x1f]")
 _GLUED = re.compile(r"(?:[^\w\s]|_)[.,]\s")
 
 
+def _byte_pieces(text: str) -> list[str]:
+    """What ``_BYTE_PIECE`` finds, and empty pieces beside outer white space."""
+    if "\0" in text:
+        return _BYTE_PIECE.findall(text)
+    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+
+def _byte_odd(text: str) -> bool:
+    """``_BYTE_ODD``; most texts have single spaces or line ends and need no search."""
+    if " ".join(text.split()) == text.replace("\n", " "):
+        return "<|" in text
+    return _BYTE_ODD.search(text) is not None
+
+
 def _word_pieces(text: str) -> list[str]:
     """Words; a stop or comma between a letter and white space is a word."""
     if not _GLUED.search(text):
@@ -46,7 +60,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.model.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.pieces, self.odd = (_BYTE_PIECE.findall, _BYTE_ODD) if byte_level else (_word_pieces, _WORD_ODD)
+        self.pieces, self.odd = (_byte_pieces, _byte_odd) if byte_level else (_word_pieces, _WORD_ODD.search)
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         # ids of a byte-level vocabulary that begin with a space
@@ -76,7 +90,7 @@ class Encoder:
                 self.cache[w] = self.old[w]
             else:
                 new.append(w)
-        spaced = [w for w in new if w[0] == " "] if self.opens is not None else []
+        spaced = [w for w in new if w[:1] == " "] if self.opens is not None else []
         for i in range(0, len(spaced), 4096):
             some = spaced[i:i + 4096]
             self.cache.update(zip(some, self._encode_spaced(some)))
@@ -90,12 +104,12 @@ class Encoder:
         """Ids of one text, packed as ``self.kind``."""
         if not text:
             return b""
-        if self.odd.search(text):
+        if self.odd(text):
             return self._pack(self.model.encode(text, add_special_tokens=False).ids)
         words = self.pieces(text)
         cache = self.cache
         try:
-            return b"".join([cache[w] for w in words])
+            return b"".join(map(cache.__getitem__, words))
         except KeyError:
             missing = [w for w in dict.fromkeys(words) if w not in cache]
             if len(cache) + len(missing) > CACHE_WORDS:  # a new generation starts: look all of them up in it
