@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -22,8 +23,11 @@ _BYTE_PIECE = re.compile(r"\n| ?[^ \n]+")
 _BYTE_ODD = re.compile(r"[^\S \n]|\s\s| \Z|<\|")
 #: word-level: white space only separates; \x1c-\x1f is white space to split() alone
 _WORD_ODD = re.compile(r"<\||[\x1c-\x1f]")
+#: punctuation behind a Latin letter or digit starts a piece in both vocabularies
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: a full stop or comma that ends a run of punctuation, which is one piece
-_GLUED = re.compile(r"(?:[^\w\s]|_)[.,]\s")
+#: (a dotted capital I ends in a mark once it is lower case)
+_GLUED = re.compile("(?:[^\\w\\s]|[_\u0130])[.,]\\s")
 
 
 def _byte_pieces(text: str) -> list[str]:
@@ -41,7 +45,13 @@ def _byte_odd(text: str) -> bool:
 
 
 def _word_pieces(text: str) -> list[str]:
-    """Words; a stop or comma between a letter and white space is a word."""
+    """Words; a stop or comma between a letter and white space is a word. The
+    vocabulary is lower case, and inside Latin-1 lower() is its own rule."""
+    try:
+        text.encode("latin-1")
+        text = text.lower()
+    except UnicodeEncodeError:
+        pass
     if not _GLUED.search(text):
         for mark in ".,":
             text = text.replace(f"{mark} ", f" {mark} ").replace(f"{mark}\n", f" {mark}\n")
@@ -63,42 +73,66 @@ class Encoder:
         self.pieces, self.odd = (_byte_pieces, _byte_odd) if byte_level else (_word_pieces, _WORD_ODD.search)
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        # ids of a byte-level vocabulary that begin with a space
-        self.opens = np.array([t.startswith("\u0120") for t, _ in sorted(
-            self.model.get_vocab().items(), key=lambda x: x[1])]) if byte_level else None
+        # ids that begin a word (with its space) or end one
+        names = [t for t, _ in sorted(self.model.get_vocab().items(), key=lambda x: x[1])]
+        self.byte_level = byte_level
+        self.edges = np.array([t.startswith("\u0120") if byte_level else t.endswith("</w>") for t in names])
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.kind).tobytes()
 
-    def _encode_spaced(self, words: list[str]) -> list[bytes]:
-        """Words with a leading space, encoded as one text and cut again before
-        every id that begins with a space."""
-        ids = np.array(self.model.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids,
-                       dtype=self.kind)
-        at = np.flatnonzero(self.opens[ids])
+    def _encode_joined(self, words: list[str]) -> list[bytes]:
+        """Words encoded as one text, which is cut again before every id that
+        begins with a space or after every id that ends a word."""
+        text = ("" if self.byte_level else " ").join(words)
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
+        at = np.flatnonzero(self.edges[ids])
         if len(at) != len(words):
             return [self._pack(e.ids) for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
-        raw, ends, wide = ids.tobytes(), [*at.tolist()[1:], len(ids)], self.kind.itemsize
-        return [raw[x * wide:y * wide] for x, y in zip(at.tolist(), ends)]
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.old, self.cache = self.cache, {}
-        new = []
+        wide = self.kind.itemsize
+        if self.byte_level:
+            cuts = [*(at * wide).tolist(), len(ids) * wide]
+        else:
+            cuts = [0, *((at + 1) * wide).tolist()]
+        raw = ids.tobytes()
+        return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+
+    def _joinable(self, word: str) -> bool:
+        return word[:1] == " " if self.byte_level else word.isalpha()
+
+    def _learn(self, words: Iterable[str]) -> None:
+        """Put all ``words`` into the cache; a word with punctuation behind it
+        is made of the word and the punctuation."""
+        cache, old = self.cache, self.old
+        new, glued = [], []
         for w in words:
-            if w in self.old:
-                self.cache[w] = self.old[w]
-            else:
+            if w in old:
+                cache[w] = old[w]
+                continue
+            stem = w.rstrip(_PUNCTUATION)
+            if len(stem) == len(w) or not stem or stem[-1] > "\u00ff" or not stem[-1].isalnum():
                 new.append(w)
-        spaced = [w for w in new if w[:1] == " "] if self.opens is not None else []
-        for i in range(0, len(spaced), 4096):
-            some = spaced[i:i + 4096]
-            self.cache.update(zip(some, self._encode_spaced(some)))
-        plain = [w for w in new if w not in self.cache] if spaced else new
+                continue
+            end = w[len(stem):]
+            glued.append((w, stem, end))
+            for x in (stem, end):
+                if x not in cache:
+                    if x in old:
+                        cache[x] = old[x]
+                    else:
+                        new.append(x)
+        new = list(dict.fromkeys(new))
+        joined = [w for w in new if self._joinable(w)]
+        for i in range(0, len(joined), 4096):
+            some = joined[i:i + 4096]
+            cache.update(zip(some, self._encode_joined(some)))
+        plain = [w for w in new if w not in cache]
         for i in range(0, len(plain), 4096):
             some = plain[i:i + 4096]
             for w, e in zip(some, self.model.encode_batch_fast(some, add_special_tokens=False)):
-                self.cache[w] = self._pack(e.ids)
+                cache[w] = self._pack(e.ids)
+        for w, stem, end in glued:
+            cache[w] = cache[stem] + cache[end]
 
     def encode(self, text: str | None) -> bytes:
         """Ids of one text, packed as ``self.kind``."""
@@ -107,15 +141,13 @@ class Encoder:
         if self.odd(text):
             return self._pack(self.model.encode(text, add_special_tokens=False).ids)
         words = self.pieces(text)
-        cache = self.cache
-        try:
-            return b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            missing = [w for w in dict.fromkeys(words) if w not in cache]
-            if len(cache) + len(missing) > CACHE_WORDS:  # a new generation starts: look all of them up in it
-                missing = list(dict.fromkeys(words))
+        missing = set(words).difference(self.cache)
+        if missing:
+            if len(self.cache) + 2 * len(missing) > CACHE_WORDS:  # a new generation starts: look all of them up in it
+                self.old, self.cache = self.cache, {}
+                missing = set(words)
             self._learn(missing)
-            return b"".join([self.cache[w] for w in words])
+        return b"".join(map(self.cache.__getitem__, words))
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}

@@ -156,6 +156,20 @@ def test_token_file_round_trip(spark, docs, empty, rows, tmp_path):
     assert read_token_file(spark, str(tmp_path / "e")).collect() == []
 
 
+@pytest.mark.parametrize("name, byte_level", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_cached_words_encode_like_whole_texts(rows, monkeypatch, name, byte_level):
+    from quarry.llm import tokens
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 500)  # generations change many times
+    enc = tokens.Encoder(tokens.tokenizer_path(name), byte_level)
+    marks = [" ", " ", "\n", ".", ",", "!", "'", "'s", "'LL", "##", "a", "B", "\u00c9", "\u00df", "\u03a3", "\u0130", "1",
+             "\u00b2", "\u00aa", "x", "<", "|", "_", "-", "\u2026", "\xa0", "\x85", "\u0301", "\u4e2d", "\x1c", "\0", "="]
+    rng = random.Random(3)
+    odd = ["".join(rng.choices(marks, k=rng.randint(1, 30))) for _ in range(5000)]
+    for text in [r[1] for r in rows] + odd:
+        ids = enc.model.encode(text or "", add_special_tokens=False).ids
+        assert enc.encode(text) == enc._pack(ids), text
+
+
 def test_code_lengths_are_optimal_and_limited():
     from quarry.llm.huffman import Coder, code_lengths
     rng = np.random.default_rng(1)
