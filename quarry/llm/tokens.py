@@ -21,13 +21,11 @@ CACHE_WORDS = 400_000  # pieces of a generation; a worker keeps the last two
 _BYTE_PIECE = re.compile(r"\n| ?[^ \n]+")
 #: other or repeated white space, a last space, or text of a special token
 _BYTE_ODD = re.compile(r"[^\S \n]|\s\s| \Z|<\|")
-#: word-level: white space only separates; \x1c-\x1f is white space to split() alone
-_WORD_ODD = re.compile(r"<\||[\x1c-\x1f]")
 #: punctuation behind a Latin letter or digit starts a piece in both vocabularies
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: a full stop or comma that ends a run of punctuation, which is one piece
 #: (a dotted capital I ends in a mark once it is lower case)
-_GLUED = re.compile("(?:[^\\w\\s]|[_\u0130])[.,]\\s")
+_GLUED = re.compile("[.,](?<=[^\\w\\s].|[_\u0130].)\\s")
 
 
 def _byte_pieces(text: str) -> list[str]:
@@ -44,6 +42,11 @@ def _byte_odd(text: str) -> bool:
     return _BYTE_ODD.search(text) is not None
 
 
+def _word_odd(text: str) -> bool:
+    """White space only separates; \\x1c-\\x1f is white space to split() alone."""
+    return "<|" in text or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+
+
 def _word_pieces(text: str) -> list[str]:
     """Words; a stop or comma between a letter and white space is a word. The
     vocabulary is lower case, and inside Latin-1 lower() is its own rule."""
@@ -70,7 +73,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.model.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.pieces, self.odd = (_byte_pieces, _byte_odd) if byte_level else (_word_pieces, _WORD_ODD.search)
+        self.pieces, self.odd = (_byte_pieces, _byte_odd) if byte_level else (_word_pieces, _word_odd)
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         # ids that begin a word (with its space) or end one
