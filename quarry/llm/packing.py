@@ -74,6 +74,34 @@ class Rounds:
                 ahead, here, lo = ahead + to_left, here - to_left, mid
         return here, ahead
 
+    @staticmethod
+    def _window(upto, t: int, guess: int, first: int, last: int) -> tuple[int, tuple[int, int], tuple[int, int]]:
+        """The window of a phase (``first`` to ``last``) that serves token ``t``, with the
+        service before and after it. A guess may be off by any number of windows where
+        small queues share a node, so steps that double, then halve, bracket it."""
+        lo, at_lo, step = guess, upto(guess), 1
+        hi, at_hi = None, None
+        while at_lo[0] > t:
+            hi, at_hi = lo, at_lo
+            lo, step = max(first, lo - step), 2 * step
+            at_lo = upto(lo)
+        step = 1
+        while hi is None:
+            far = min(last + 1, lo + step)
+            at_far, step = upto(far), 2 * step
+            if at_far[0] > t:
+                hi, at_hi = far, at_far
+            else:
+                lo, at_lo = far, at_far
+        while hi - lo > 1:
+            mid = (lo + hi) // 2
+            at_mid = upto(mid)
+            if at_mid[0] > t:
+                hi, at_hi = mid, at_mid
+            else:
+                lo, at_lo = mid, at_mid
+        return lo, at_lo, at_hi
+
     def pieces(self, queue: int, at: int, size: int) -> Iterator[tuple[int, int, int, int]]:
         """(start in the document, length, window, offset) of tokens [at, at + size) of ``queue``."""
         end = at + size
@@ -84,17 +112,16 @@ class Rounds:
             if lo >= hi:
                 continue
             t, stop = lo - done[queue], hi - done[queue]
-            w = max(g, g + t * all_ // give - 2 * self.length) // self.length
             clamp = lambda x: max(0, min(all_, x))
-            a, ahead_a = self.served(sums, queue, clamp(w * self.length - g))
+            upto = lambda w: self.served(sums, queue, clamp(w * self.length - g))  # noqa: E731, B023
+            first, last = g // self.length, (g + all_ - 1) // self.length
+            w = max(first, min(last, (g + t * all_ // give) // self.length))
             while t < stop:
-                b, ahead_b = self.served(sums, queue, clamp((w + 1) * self.length - g))
-                if b > t:
-                    n = min(stop, b) - t
-                    before_phase = max(0, g - w * self.length)
-                    yield t + done[queue] - at, n, w, before_phase + ahead_b - ahead_a + t - a
-                    t += n
-                w, a, ahead_a = w + 1, b, ahead_b
+                w, (a, ahead_a), (b, ahead_b) = self._window(upto, t, w, first, last)
+                n = min(stop, b) - t
+                before_phase = max(0, g - w * self.length)
+                yield t + done[queue] - at, n, w, before_phase + ahead_b - ahead_a + t - a
+                t, w = t + n, min(last, w + 1)
             pos = hi
 
 

@@ -215,6 +215,36 @@ def test_packing_keeps_proportions():
             assert abs(got - n / r.total * 4096 * w) < 3
 
 
+@pytest.mark.parametrize("big, length", [(20_000, 16), (2 ** 33, 4096)])
+@pytest.mark.parametrize("shares", [None, [7, 1, 1, 2, 3, 1, 2, 9]])
+def test_packing_of_tiny_queues_between_large_ones(big, length, shares):
+    """Documents of one token each: every window they reach is full, nothing twice."""
+    from quarry.llm.packing import Rounds
+    totals = [big, 1, 3, 2, 5, 1, 2, big]
+    r = Rounds(totals, shares, length)
+    windows = {}
+    for q, n in enumerate(totals):
+        for t in range(n if n < 10 else 0):
+            (start, size, w, offset), = r.pieces(q, t, 1)
+            assert (start, size) == (0, 1)
+            windows.setdefault(w, []).append(offset)
+    if big < 10 ** 6:
+        windows |= {w: windows.get(w, []) for w in range(-(-r.total // length))}
+    for q in (0, 7):  # the large queues' tokens of those windows: bisect for the first, take until the last
+        for w, own in windows.items():
+            lo, hi = 0, big
+            while lo < hi:
+                mid = (lo + hi) // 2
+                lo, hi = (mid + 1, hi) if next(r.pieces(q, mid, 1))[2] < w else (lo, mid)
+            for t in range(lo, big):
+                _, _, at, offset = next(r.pieces(q, t, 1))
+                if at != w:
+                    break
+                own.append(offset)
+    for w, own in windows.items():
+        assert sorted(own) == list(range(min(length, r.total - w * length))), w
+
+
 def test_url_rules(spark):
     from quarry.llm.url_rules import DEFAULT_VERDICT, PAGE_RULES, judge_pages, judge_urls
     urls = [None, "", "no scheme", "http://Example.COM/en/1?x", "https://www.example.com/en/", "http://a.net/es/x#y",
