@@ -1,7 +1,7 @@
 """A training corpus from ``documents``: five stages, each on what the one before kept.
 
 Stages return the columns of ``documents`` (in their order, with all extra
-columns), the last one the packed pieces. Rows with a NULL id are never
+columns), mix its place column behind them, the last one the packed pieces. Rows with a NULL id are never
 dropped by the duplicate stages; NULL texts pass as empty; an empty table
 gives empty results.
 """
@@ -11,15 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bounded_rows, small, staged
+from quarry.llm.common import small, staged
 from quarry.llm.exact_dup import exact_duplicates
-from quarry.llm.mixing import CYCLE, mix_sources
+from quarry.llm.mixing import mix_sources
 from quarry.llm.near_dup import near_duplicates
 from quarry.llm.packing import pack
 from quarry.llm.tokens import tokenizer_path
 from quarry.llm.toxicity import score_documents, train
 
 ALPHA = 0.5  # a source's target weight is its bytes to this power
+PLACE = "mix_position"  # column of a document's place in the mixed corpus
 SMALL_IDS = 1_000_000  # longer lists of ids join by a shuffle
 
 
@@ -46,20 +47,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, written in the order of the mixed corpus."""
+    """All documents with their place in the mixed corpus, written in that order.
+    Rows that repeat an id share its first place."""
+    if PLACE in docs.columns:
+        raise ValueError(f"documents have a column {PLACE} already")
     place = staged(mix_sources(docs, alpha=ALPHA).groupBy(F.col("doc_id").alias("_id"))
-                   .agg(F.min("position").alias("_place")), "places")
+                   .agg(F.min("position").alias(PLACE)), "places")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (docs.join(small(place, SMALL_IDS), F.col("doc_id").eqNullSafe(F.col("_id")))
-            .repartitionByRange(parts, "_place").sortWithinPartitions("_place").select(*docs.columns))
+            .repartitionByRange(parts, PLACE).sortWithinPartitions(PLACE).select(*docs.columns, PLACE))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 4,096 tokens in the proportions the mixture aims at."""
-    sizes = bounded_rows(docs.groupBy("source").agg(
-        F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("n")), CYCLE, "the list of sources")
+    """Sequences of 4,096 tokens, filled in the order of the mixed corpus: the slots
+    of the mix decide which sources a sequence holds. Documents that were not
+    mixed are packed in the corpus's own proportions."""
     return pack(docs, tokenizer_path("word_bpe_49k.json"), False, end_id=2,
-                shares={r["source"]: r["n"] ** ALPHA for r in sizes})
+                order=PLACE if PLACE in docs.columns else None)
 
 
 STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix", mix),

@@ -162,7 +162,7 @@ def _cut(rounds: Rounds, queues: dict, kind: str):
 
 
 def pack(docs: DataFrame, tokenizer: str, byte_level: bool = False, end_id: int = 2, length: int = 4096,
-         shares: dict | None = None) -> DataFrame:
+         shares: dict | None = None, order: str | None = None) -> DataFrame:
     """Pack all documents into sequences of ``length`` tokens; per piece doc_id,
     start, length, doc_tokens, sequence_id, offset and its ids (little-endian
     unsigned 32-bit).
@@ -172,10 +172,16 @@ def pack(docs: DataFrame, tokenizer: str, byte_level: bool = False, end_id: int
     Repeated rows are documents each. ``shares`` weighs sources; without it
     every window has the corpus's own proportions, and only the last window
     can be short. Sources absent from ``shares`` come when all others are dry.
+    ``order`` names a column of places that already mix the sources: then all
+    documents are one queue in that order (ties by id), and take no shares.
     """
-    require_columns(docs, "doc_id", "text", "source")
+    require_columns(docs, "doc_id", "text", "source", *([order] if order else []))
+    if order and shares:
+        raise ValueError("the order has decided the mixture; shares do not apply")
+    queues = (by_range(docs.select("doc_id", F.lit(None).cast("string").alias("source"), "text", order), order, "doc_id")
+              if order else by_range(docs.select("doc_id", "source", "text"), "doc_id"))
     tokens = staged(
-        by_range(docs.select("doc_id", "source", "text"), "doc_id")
+        queues
         .mapInArrow(_tokenise(tokenizer, byte_level, end_id),
                     "part int, doc_id long, source string, start long, n long, ids binary"), "queues")
     base = before(tokens.groupBy("part", "source").agg(F.sum("n").alias("_n")), "part", "_n", "_base", "source")

@@ -351,3 +351,28 @@ def test_pipeline_stages(spark, rows):
     assert sum(x.length for x in pieces) == sum({x.doc_id: x.doc_tokens for x in pieces}.values())
     for name, f in p.STAGES:
         assert f(spark, docs.limit(0), sf).collect() == []
+
+
+def test_pipeline_packs_in_the_order_of_the_mix(spark, monkeypatch):
+    import corpus_pipeline as p
+    from quarry.llm.mixing import mix_sources
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").cache()
+    # the stages before mix only drop rows
+    monkeypatch.setattr(p, "STAGES", [x for x in p.STAGES if x[0] in ("mix", "packing")])
+    key = lambda rows: sorted((r.sequence_id, r.offset, r.doc_id, r.start, r.length) for r in rows)
+    got = key(p.run(spark, sf).collect())
+    place = {r.doc_id: r.position for r in mix_sources(docs, alpha=p.ALPHA).collect()}
+    first = [d for _, _, d, start, _ in got if start == 0]
+    assert first == sorted(place, key=place.get)  # documents begin in mixed order
+    at = 0
+    for w, offset, _, _, n in got:  # gapless
+        assert 4096 * w + offset == at
+        at += n
+    names = sorted({r.source for r in docs.collect()}, key=str)
+    weights = {s: 1 + 50 * k for k, s in enumerate(names)}
+    monkeypatch.setattr(p, "mix_sources", lambda d, **kw: mix_sources(d, weights=weights))
+    other = key(p.run(spark, sf).collect())
+    assert other != got and sorted(x[2] for x in other if x[3] == 0) == sorted(first)
+    monkeypatch.setattr(p, "STAGES", p.STAGES[1:])
+    assert key(p.run(spark, sf).collect()) not in (got, other)
