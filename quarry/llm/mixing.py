@@ -2,9 +2,10 @@
 
 A source with weight w releases its block i at time i / w and must run it by
 (i + 1) / w (rounded outwards); earliest deadline first among released blocks
-then keeps every source within one block of its target at all times. Weights
-are whole shares of a ``CYCLE`` of slots, so the schedule repeats and only one
-cycle is ever computed: block i of a source is placed by i div share (cycle)
+then keeps every source within one block of its target at all times. Up to
+``MAX_SLOTS`` slots the whole schedule is computed, to weights exact to 2**-40.
+Beyond, weights are whole shares of ``MAX_SLOTS`` slots, the schedule repeats and
+one cycle is computed: block i of a source is placed by i div share (cycle)
 and i mod share (slot inside it), row by row, without any global state.
 """
 
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 from quarry.llm.common import before, bounded_rows, by_range, require_columns, small, staged
 from quarry.llm.sharding import row_numbers
 
-CYCLE = 4096  # slots of the schedule; also the most sources
+CYCLE = 4096  # the most sources; more raise an error
+EXACT = 1 << 40  # parts of the weights while the schedule does not repeat
+MAX_SLOTS = 1 << 20  # slots that are computed; a longer schedule repeats
 BLOCK_BYTES = 1 << 16
 
 
@@ -41,8 +44,9 @@ def whole_shares(weights: list[float], cycle: int = CYCLE) -> list[int]:
     return share
 
 
-def schedule(shares: list[int]) -> list[tuple[int, int, int, int, int]]:
-    """One cycle: (source, block, release, deadline, slot), earliest deadline first."""
+def schedule(shares: list[int], slots: int | None = None) -> list[tuple[int, int, int, int, int]]:
+    """One cycle, or its first ``slots``: (source, block, release, deadline, slot),
+    earliest deadline first."""
     cycle = sum(shares)
     release = lambda s, i: i * cycle // shares[s]
     deadline = lambda s, i: -(-(i + 1) * cycle // shares[s])
@@ -50,7 +54,7 @@ def schedule(shares: list[int]) -> list[tuple[int, int, int, int, int]]:
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int]] = []
     out = []
-    for slot in range(cycle):
+    for slot in range(cycle if slots is None else slots):
         while waiting and waiting[0][0] <= slot:
             _, s, i = heapq.heappop(waiting)
             heapq.heappush(ready, (deadline(s, i), s, i))
@@ -61,6 +65,15 @@ def schedule(shares: list[int]) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
+def slot_plan(weights: list[float], blocks: list[int]) -> tuple[list[int], list[tuple[int, int, int, int, int]]]:
+    """Whole shares, and the schedule of ``blocks`` of each source (of one cycle if it repeats)."""
+    shares = whole_shares(weights, EXACT)
+    slots = max(-(-n * EXACT // x) for n, x in zip(blocks, shares))
+    if slots > MAX_SLOTS:
+        shares, slots = whole_shares(weights, MAX_SLOTS), MAX_SLOTS
+    return shares, [x for x in schedule(shares, slots) if x[1] < blocks[x[0]]]
+
+
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, so_far = TaskContext.get().partitionId(), {}
     for batch in batches:
@@ -98,11 +111,13 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5
     names = sorted(totals, key=lambda s: (s is not None, s))
     if weights is not None and any(weights.get(s, 0) <= 0 for s in names):
         raise ValueError("every source needs a positive weight")
-    shares = whole_shares([weights[s] if weights else totals[s] ** alpha for s in names]) if names else []
-    plan = [(names[s], shares[s], i, r, d, t) for s, i, r, d, t in schedule(shares)]
-    # CYCLE rows, whatever the input
-    slots = F.broadcast(spark.createDataFrame(
-        plan, "_s string, _share long, _i long, _r long, _d long, _t long"))
+    shares, plan = slot_plan([weights[s] if weights else totals[s] ** alpha for s in names],
+                             [-(-totals[s] // block_bytes) for s in names]) if names else ([], [])
+    columns = list(zip(*plan)) or [()] * 5
+    # a row a block, at most MAX_SLOTS
+    slots = small(spark.createDataFrame(pa.table(
+        [pa.array([names[s] for s in columns[0]], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
+        names=["_s", "_i", "_r", "_d", "_t"])))
     base = before(rows.groupBy("part", "source").agg(F.sum("size").alias("_n")), "part", "_n", "_base", "source")
     b = small(base.select(F.col("part").alias("_p"), F.col("source").alias("_bs"), "_base"))
     share = F.broadcast(spark.createDataFrame(list(zip(names, shares)), "_ss string, _w long"))

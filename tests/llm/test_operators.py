@@ -305,6 +305,26 @@ def test_mixing(docs, empty, rows):
     assert mix_sources(empty).collect() == []
 
 
+def test_mixing_keeps_exact_weights(docs, monkeypatch):
+    from fractions import Fraction
+    from quarry.llm import mixing
+    weights = [1.0, 3e4, 0.37 * 1e5, 7.5]  # two are far under 1/4096
+    exact = [Fraction(w) / sum(map(Fraction, weights)) for w in weights]
+    done = [0] * 4
+    _, plan = mixing.slot_plan(weights, [2, 9_000, 50_000, 8])
+    for s, i, release, deadline, slot in plan:
+        assert i == done[s] and abs(i / exact[s] - release) <= 1 and release <= slot < deadline
+        assert abs(i - exact[s] * slot) < 1 + 1e-6  # within a block of the target weight
+        done[s] += 1
+    assert done == [2, 9_000, 50_000, 8]
+    given = dict(zip([None, "s0", "s1", "s2"], weights))
+    whole = mixing.mix_sources(docs, given, block_bytes=256).collect()
+    assert all(abs(r.weight - given[r.source] / sum(weights)) < 1e-9 for r in whole)
+    monkeypatch.setattr(mixing, "MAX_SLOTS", 16)  # the schedule repeats
+    again = mixing.mix_sources(docs, block_bytes=256).collect()
+    assert len(again) == len(whole) and all(r.release <= r.slot < r.deadline for r in whole + again)
+
+
 def test_sharding(docs, empty, rows):
     from quarry.llm.sharding import shard_documents
     for shards in (1, 3, 8):
