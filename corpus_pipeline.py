@@ -2,7 +2,8 @@
 
 Stages return the columns of ``documents`` (in their order, with all extra
 columns), mix its place column behind them, the last one the packed pieces. Rows with a NULL id are never
-dropped by the duplicate stages; NULL texts pass as empty; an empty table
+dropped by the duplicate stages; of rows that repeat an id each is decided by
+its own text; NULL texts pass as empty; an empty table
 gives empty results.
 """
 
@@ -16,17 +17,39 @@ from quarry.llm.exact_dup import exact_duplicates
 from quarry.llm.mixing import mix_sources
 from quarry.llm.near_dup import near_duplicates
 from quarry.llm.packing import pack
+from quarry.llm.sharding import row_numbers
 from quarry.llm.tokens import tokenizer_path
 from quarry.llm.toxicity import score_documents, train
 
 ALPHA = 0.5  # a source's target weight is its bytes to this power
 PLACE = "mix_position"  # column of a document's place in the mixed corpus
+ROW = "_row"  # id of a row while duplicates are decided
 SMALL_IDS = 1_000_000  # longer lists of ids join by a shuffle
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` and an id of each row: doc_id, or for all but one row of an id that
+    repeats a number above all ids. So duplicates are decided row by row."""
+    if ROW in docs.columns:
+        raise ValueError(f"documents have a column {ROW} already")
+    own = F.col("doc_id").cast("long")
+    again = staged(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+                   .filter("_n > 1").select(F.col("doc_id").alias("_again")), "repeated")
+    if again.isEmpty():
+        return docs.withColumn(ROW, own)
+    again, twice = small(again, SMALL_IDS), F.col("doc_id") == F.col("_again")
+    top = docs.agg(F.max(own)).first()[0]
+    rows = row_numbers(docs.join(again, twice, "left_semi"), "doc_id", "text")
+    first = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.min("row_number").alias("_first"))
+    rows = rows.join(first, F.col("doc_id") == F.col("_id")).withColumn(
+        ROW, F.when(F.col("row_number") == F.col("_first"), own).otherwise(F.lit(top + 1) + F.col("row_number")))
+    return staged(docs.join(again, twice, "left_anti").withColumn(ROW, own)
+                  .unionByName(rows.select(*docs.columns, ROW)), "rows-apart")
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    ids = staged(dropped.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
-    return docs.join(small(ids, SMALL_IDS), F.col("doc_id") == F.col("_gone"), "left_anti")
+    ids = staged(dropped.select(F.col(ROW).alias("_gone")).filter("_gone IS NOT NULL").distinct(), "dropped")
+    return docs.join(small(ids, SMALL_IDS), F.col(ROW) == F.col("_gone"), "left_anti").drop(ROW)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,13 +60,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal without white space one document stays."""
-    return _without(docs, exact_duplicates(docs).filter(~F.col("kept")))
+    """Of texts equal without white space one document stays. Rows that repeat an
+    id are documents each: of equal rows one stays, another text of the id stays too."""
+    rows = _apart(docs)
+    return _without(rows, exact_duplicates(rows, id_col=ROW).filter(~F.col("kept")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) one document stays."""
-    return _without(docs, near_duplicates(docs, size=5, percent=80).filter(~F.col("kept")))
+    """Of each group of near copies (five-word shingles, similarity 0.8) one document stays.
+    Rows that repeat an id are documents each."""
+    rows = _apart(docs)
+    found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"), size=5, percent=80)
+    return _without(rows, found.filter(~F.col("kept")).select(F.col("doc_id").alias(ROW)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -396,3 +396,22 @@ def test_pipeline_packs_in_the_order_of_the_mix(spark, monkeypatch):
     assert other != got and sorted(x[2] for x in other if x[3] == 0) == sorted(first)
     monkeypatch.setattr(p, "STAGES", p.STAGES[1:])
     assert key(p.run(spark, sf).collect()) not in (got, other)
+
+
+def test_pipeline_decides_repeated_ids_by_row(spark):
+    import corpus_pipeline as p
+    one, two, three = ("".join(f"{x}{k} " for k in range(60)) for x in "xyz")
+    near = one.replace("x59 ", "other ")
+    rows = [(1, one, "a"), (1, one, "a"), (2, one, "a"), (2, two, "a"), (2, two + " ", "b"), (3, three, "a"),
+            (4, near, "a"), (4, "alone", "a"), (None, two, "a"), (None, two, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = p.exact_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(1, one, "a"), (2, two + " ", "b"), (3, three, "a"), (4, "alone", "a"), (4, near, "a")]
+    assert sorted(tuple(r) for r in got.filter("doc_id IS NOT NULL").collect()) == sorted(want)
+    assert got.filter("doc_id IS NULL").count() == 2  # never dropped
+    got = p.near_dedup(spark, docs, "")
+    left = [tuple(r) for r in got.filter("doc_id IS NOT NULL").collect()]
+    assert sorted((d, t.strip()) for d, t, _ in left) == sorted(
+        (d, t.strip()) for d, t in [(1, one), (2, two), (3, three), (4, "alone")])
+    assert got.filter("doc_id IS NULL").count() == 2
