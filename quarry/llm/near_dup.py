@@ -218,8 +218,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     Needs doc_id and text; extra columns are ignored. NULL, empty and blank
     texts have no shingles and link with nothing. A NULL id has only exact
     copies as links and loses to any id. Rows that repeat an id are one
-    document. An empty table gives no rows.
+    document. An empty table gives no rows. Keys and ``LEAST_SHARED`` are made
+    for 80 % or more; a lower ``percent`` would miss links and raises ValueError.
     """
+    if not 80 <= percent <= 100:
+        raise ValueError(f"percent must be 80 to 100, not {percent}")
     require_columns(docs, "doc_id", "text")
     docs = docs.select("doc_id", "text")
     rows = staged(docs.mapInArrow(_sketch(size), "doc_id long, n long, digest binary, sketch array<int>"), "sketches")

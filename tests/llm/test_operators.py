@@ -82,6 +82,13 @@ def test_near_duplicates(docs, empty, rows, size):
         assert near_duplicates(empty, 2).collect() == []
 
 
+def test_near_duplicates_refuses_thresholds_its_keys_miss(docs):
+    from quarry.llm.near_dup import near_duplicates
+    for percent in (79, 70, 0, 101):
+        with pytest.raises(ValueError):
+            near_duplicates(docs, 2, percent)
+
+
 def test_near_copies_of_small_sets(spark):
     """Four shingles inside five, the one case without a shared run of three."""
     from quarry.llm.near_dup import near_duplicates
