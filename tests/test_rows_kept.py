@@ -54,3 +54,17 @@ def test_unload_round_trip_keeps_spaces_quotes_and_line_ends(spark, tmp_path):
     path = sinks.unload_csv(df, str(tmp_path / "u"))
     back = spark.read.options(**sinks.GZIP_CSV.reader_options()).schema(df.schema).csv(path)
     assert sorted(map(tuple, back.collect())) == rows
+
+
+@pytest.mark.parametrize("table, column", [("accounts", "credit_limit"), ("transactions", "location_city")])
+def test_generated_csv_compares_every_column(cat, monkeypatch, table, column):
+    from quarry.plans import w_generate
+    assert {r.table_name for r in w_generate.g06_csv(cat).collect()} == {
+        "customers", "credit_data", "transactions", "watchlist"}
+    unload = w_generate.sinks.unload_csv
+
+    def lossy(df, path):
+        return unload(df.withColumn(column, df[column].substr(2, 9)) if path.endswith(table) else df, path)
+    monkeypatch.setattr(w_generate.sinks, "unload_csv", lossy)
+    with pytest.raises(ValueError, match=table):
+        w_generate.g06_csv(cat)
