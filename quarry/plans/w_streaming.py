@@ -46,6 +46,7 @@ class CsvPipe:
         root = scratch(cat.spark, f"pipe-{table}")
         self.landing, self.target = f"{root}/landing", f"{root}/raw"
         self.rejects, self.checkpoint = f"{root}/rejects", f"{root}/_checkpoint"
+        self.log = f"{root}/run_log"
         self.schema = StructType(SCHEMAS[table].fields + [StructField(CORRUPT, StringType())])
         self.run_id = 0
 
@@ -54,6 +55,7 @@ class CsvPipe:
         good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file")
         ingest.append_batch(good.withColumn("run_id", F.lit(self.run_id)), self.target, batch_id)
         ingest.append_batch(df.filter(F.col(CORRUPT).isNotNull()), self.rejects, batch_id)
+        ingest.log_batch(df, self.log, batch_id, self.run_id)
         df.unpersist()
 
     def refresh(self) -> None:
@@ -111,16 +113,10 @@ def t04_run_history(cat):
     """Run log of a pipe: micro-batches and input rows per refresh."""
     pipe = CsvPipe(cat)
     t = cat.b_transactions.withColumn("_wave", wave_of("transaction_id"))
-    logs = None
     for w in (1, 2):
         land_csv(t.filter(F.col("_wave") == w).drop("_wave"), pipe.landing)
-        pipe.run_id += 1
-        s = ingest.file_stream(cat.spark, pipe.landing, "csv", pipe.schema,
-                               {**LANDING.reader_options(), "columnNameOfCorruptRecord": CORRUPT})
-        q = ingest.run(s, pipe._batch, pipe.checkpoint)
-        p = ingest.progress_rows(cat.spark, q, w)
-        logs = p if logs is None else logs.unionByName(p)
-    return logs
+        pipe.refresh()
+    return ingest.run_log(cat.spark, pipe.log)
 
 
 @query("t01_ingest_json", with_views("SELECT username, is_live FROM c_list", "c_list"))

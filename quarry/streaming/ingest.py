@@ -17,6 +17,7 @@ table and a replayed batch is a no-op. Plain inserts have a folder per batch.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+RUN_LOG = "run_id int, batch_id long, num_input_rows long, started string"
+
 
 def file_stream(spark: SparkSession, path: str, fmt: str, schema: StructType | str,
                 options: dict[str, str] | None = None) -> DataFrame:
@@ -51,13 +54,6 @@ def run(df: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: s
     return q
 
 
-def progress_rows(spark: SparkSession, q: StreamingQuery, run_id: int) -> DataFrame:
-    """TASK_HISTORY / pipe status: one row per micro-batch of a run."""
-    rows = [(run_id, int(p["batchId"]), int(p["numInputRows"]), p["timestamp"])
-            for p in q.recentProgress]
-    return spark.createDataFrame(rows, "run_id int, batch_id long, num_input_rows long, started string")
-
-
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """INSERT of one micro-batch: its rows have a folder of their own, so a
     batch that is run again after a failure replaces its rows."""
@@ -69,6 +65,19 @@ def appended(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+def log_batch(df: DataFrame, path: str, batch_id: int, run_id: int) -> None:
+    """TASK_HISTORY / pipe status: one row per micro-batch of a run, kept with
+    ``append_batch``, so no batch leaves the log and a replay replaces its row."""
+    started = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z"
+    row = df.sparkSession.createDataFrame([(run_id, batch_id, df.count(), started)], RUN_LOG)
+    append_batch(row.withColumnRenamed("batch_id", "_batch"), path, batch_id)
+
+
+def run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``log_batch``."""
+    return appended(spark, path).withColumnRenamed("_batch", "batch_id")
+
+
 class VersionedTable:
     """A table folder of immutable versions plus a pointer row naming the
     live one and the last batch id that produced it."""

@@ -74,3 +74,33 @@ def test_broken_changes_are_rejected_not_merged(spark, cat):
     updates = cat.b_customers.filter("CAST(customer_id AS BIGINT) % 10 = 1").count()
     assert ingest.appended(spark, flow.rejects).count() == updates
     assert flow.target.read().filter("customer_id LIKE 'bad%'").count() == 0
+
+
+def test_run_history_keeps_every_batch(spark, cat):
+    """More batches than a query's progress buffer holds."""
+    pipe = w_streaming.CsvPipe(cat)
+    w_streaming.land_csv(cat.b_transactions.limit(6).repartition(6), pipe.landing)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        pipe.run_id = 1
+        s = ingest.file_stream(spark, pipe.landing, "csv", pipe.schema, {
+            **w_streaming.LANDING.reader_options(), "columnNameOfCorruptRecord": w_streaming.CORRUPT,
+            "maxFilesPerTrigger": "1"})
+        q = ingest.run(s, pipe._batch, pipe.checkpoint)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    log = ingest.run_log(spark, pipe.log).collect()
+    assert len(q.recentProgress) <= 2 < len(log)
+    assert sorted(r.batch_id for r in log) == list(range(len(log)))
+    assert sum(r.num_input_rows for r in log) == 6 and {r.run_id for r in log} == {1}
+    ingest.log_batch(cat.b_transactions.limit(1), pipe.log, 0, 1)  # a replay replaces its row
+    assert ingest.run_log(spark, pipe.log).count() == len(log)
+
+
+def test_run_history_has_both_runs(cat):
+    rows = w_streaming.t04_run_history(cat)
+    assert rows.columns == ["run_id", "batch_id", "num_input_rows", "started"]
+    got = rows.collect()
+    assert {r.run_id for r in got} == {1, 2}
+    assert sum(r.num_input_rows for r in got) == cat.b_transactions.count()
