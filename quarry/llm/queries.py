@@ -12,6 +12,7 @@ from quarry.llm.exact_dup import EXACT_ORACLE, exact_duplicates
 from quarry.llm.mixing import mix_sources
 from quarry.llm.near_dup import near_duplicates
 from quarry.llm.packing import pack
+from quarry.llm.secret_scan import SECRETS_ORACLE, find_secrets
 from quarry.llm.sharding import shard_documents
 from quarry.llm.suffix_dedup import cut_report
 from quarry.llm.token_file import read_token_file, write_token_file
@@ -19,6 +20,7 @@ from quarry.llm.tokens import tokenizer_path
 from quarry.llm.topk_search import TOPK_ORACLE, top_k
 from quarry.llm.toxicity import held_out, score_documents, train
 from quarry.llm.url_rules import PAGE_ORACLE, judge_pages
+from quarry.llm.vector_codes import CODES_ORACLE, compress
 from quarry.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +96,14 @@ def op9(spark, sf_dir):
 @query("op10_sharding")
 def op10(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op11_vector_codes", CODES_ORACLE)
+def op11(spark, sf_dir):
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_secret_scan", SECRETS_ORACLE)
+def op13(spark, sf_dir):
+    return find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
