@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.exact_dup import EXACT_ORACLE, exact_duplicates
+from quarry.llm.lexical_search import SEARCH_ORACLE, search
 from quarry.llm.mixing import mix_sources
 from quarry.llm.near_dup import near_duplicates
 from quarry.llm.packing import pack
@@ -107,3 +108,8 @@ def op11(spark, sf_dir):
 def op13(spark, sf_dir):
     return find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@query("op12_lexical_search", SEARCH_ORACLE)
+def op12(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
