@@ -4,11 +4,11 @@
    hold them and how often. Number and length of documents and the document
    frequencies are counted over all of them.
 2. Frequencies turn into impacts. The terms of an item are paired off, most
-   frequent first, and every block keeps the intersection list of each pair with
-   the joint impacts and their maximum.
-3. Pairs of an item share no term, so the joint impacts of a document add up to
-   a lower bound of its score. The k-th best lower bound over all blocks is
-   where an item's bar starts.
+   frequent first; every block works out the intersection list of each pair and
+   keeps its joint maximum impact.
+3. Pairs of an item share no term, so the joint impacts that the lists hold for a
+   document add up to a lower bound of its score. A block keeps its k best lower
+   bounds of each item; the k-th best over all blocks is where the bar starts.
 4. Each block answers each item. A pair gives a document at most its joint
    maximum or, where only one of the terms occurs, that term's maximum: never
    more than both maxima together, often far less. Blocks whose bounds stay
@@ -39,9 +39,11 @@ QUERY_BYTES = 1 << 22  # text of the items that are answered in one pass
 #: terms are runs of A-Z, a-z, 0-9 and everything beyond ASCII; only A-Z changes case
 _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
-BLOCK = "ids array<long>, sizes array<int>, terms array<int>, ends array<int>, rows array<int>, times array<int>"
-INDEX = ("ids array<long>, terms array<int>, ends array<int>, rows array<int>, impacts array<long>, pairs array<int>, "
-         "pair_ends array<int>, pair_rows array<int>, joint array<long>")
+#: columns of a block's row: the numbers of an array, packed
+KINDS = {"ids": "<i8", "nulls": "|b1", "sizes": "<i4", "terms": "<i4", "ends": "<i4", "rows": "<i4", "times": "<i4",
+         "impacts": "<i8", "pairs": "<i4", "pair_top": "<i8", "low_items": "<i4", "low_scores": "<i8"}
+BLOCK = ("ids", "nulls", "sizes", "terms", "ends", "rows", "times")
+INDEX = ("ids", "nulls", "terms", "ends", "rows", "impacts", "pairs", "pair_top", "low_items", "low_scores")
 
 
 def terms(text: str | None) -> list[bytes]:
@@ -70,19 +72,20 @@ class Items:
         self.pairs = np.array(list(number), dtype=np.int64).reshape(-1, 4)
 
 
-def _record(**columns) -> pa.RecordBatch:
-    """One row of array columns."""
-    return pa.RecordBatch.from_arrays(
-        [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c if isinstance(c, pa.Array) else pa.array(c))
-         for c in columns.values()], names=list(columns))
+def _record(**columns: np.ndarray | list) -> pa.RecordBatch:
+    """One row of packed arrays."""
+    return pa.RecordBatch.from_arrays([pa.array([np.asarray(c, dtype=KINDS[n]).tobytes()], pa.binary())
+                                       for n, c in columns.items()], names=list(columns))
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """The rows of array columns as numpy arrays; ids as an Arrow array."""
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {n: c[i].values for n, c in zip(batch.schema.names, batch.columns)}
-            yield {n: v if n == "ids" else v.to_numpy() for n, v in row.items()}
+            yield {n: np.frombuffer(c[i].as_buffer(), dtype=KINDS[n]) for n, c in zip(batch.schema.names, batch.columns)}
+
+
+def _shape(names: tuple[str, ...]) -> str:
+    return ", ".join(f"{n} binary" for n in names)
 
 
 def _blocks(vocabulary: list[bytes]) -> Callable:
@@ -96,9 +99,8 @@ def _blocks(vocabulary: list[bytes]) -> Callable:
             key, times = np.unique(key, return_counts=True)
             term, row = np.divmod(key, len(ids))
             own, count = np.unique(term, return_counts=True)
-            return _record(ids=pa.array(ids, pa.int64()), sizes=pa.array(sizes, pa.int32()),
-                           terms=own.astype(np.int32), ends=np.cumsum(count).astype(np.int32),
-                           rows=row.astype(np.int32), times=times.astype(np.int32))
+            return _record(ids=[d or 0 for d in ids], nulls=[d is None for d in ids], sizes=sizes, terms=own,
+                           ends=np.cumsum(count), rows=row, times=times)
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -135,63 +137,63 @@ def weight(documents: int, holding: int) -> int:
     return floor(1000 * log((2 * documents + 2) / (2 * holding + 1)))
 
 
-def _index(items: Items, weights: np.ndarray, documents: int, length: int) -> Callable:
-    pairs = items.pairs
+def _intersections(pairs: np.ndarray, size: int, place: np.ndarray, start: np.ndarray, rows: np.ndarray,
+                   impact: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per pair that some document of the block holds whole: the rows and their joint impacts."""
+    out, line = {}, np.full(size, -1, dtype=np.int64)
+    for p in np.flatnonzero((place[pairs[:, 0]] >= 0) & (place[pairs[:, 2]] >= 0)).tolist():
+        a, times_a, c, times_c = pairs[p]
+        x, y = (slice(start[place[t]], start[place[t] + 1]) for t in (a, c))
+        line[rows[x]] = impact[x]
+        met = line[rows[y]]
+        line[rows[x]] = -1
+        hit = met >= 0
+        if hit.any():
+            out[p] = rows[y][hit], times_a * met[hit] + times_c * impact[y][hit]
+    return out
+
+
+def _largest(x: np.ndarray, k: int) -> np.ndarray:
+    return x if len(x) <= k else np.partition(x, len(x) - k)[len(x) - k:]
+
 
+def _index(items: Items, weights: np.ndarray, documents: int, length: int, k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _records(batches):
-            size = len(b["sizes"])
+            size, times = len(b["sizes"]), b["times"].astype(np.int64)
             m = np.array([75 + 25 * n * documents // length for n in b["sizes"].tolist()], dtype=np.int64)
-            times = b["times"].astype(np.int64)
             start = np.concatenate([[0], b["ends"]])
             impact = (np.repeat(weights[b["terms"]], np.diff(start))
                       * (1_000_000_000 * times // (1000 * times + 12 * m[b["rows"]])))
             place = np.full(len(weights), -1)
             place[b["terms"]] = np.arange(len(b["terms"]))
-            both = np.flatnonzero((place[pairs[:, 0]] >= 0) & (place[pairs[:, 2]] >= 0)) if len(pairs) else []
-            own, count, rows, joint = [], [], [], []
-            line = np.full(size, -1, dtype=np.int64)
-            for p in both:
-                a, times_a, c, times_c = pairs[p]
-                x, y = (slice(start[place[t]], start[place[t] + 1]) for t in (a, c))
-                line[b["rows"][x]] = impact[x]
-                met = line[b["rows"][y]]
-                line[b["rows"][x]] = -1
-                hit = met >= 0
-                if hit.any():
-                    own.append(p)
-                    rows.append(b["rows"][y][hit])
-                    joint.append(times_a * met[hit] + times_c * impact[y][hit])
-                    count.append(len(rows[-1]))
-            yield _record(ids=b["ids"], terms=b["terms"], ends=b["ends"], rows=b["rows"], impacts=impact,
-                          pairs=np.array(own, dtype=np.int32), pair_ends=np.cumsum(count).astype(np.int32),
-                          pair_rows=np.concatenate([np.zeros(0, np.int32), *rows]),
-                          joint=np.concatenate([np.zeros(0, np.int64), *joint]))
+            met = _intersections(items.pairs, size, place, start, b["rows"], impact)
+            low = []
+            for units in items.units:
+                total = np.zeros(size, dtype=np.int64)
+                for p in units[:, 4].tolist():
+                    if p in met:
+                        total[met[p][0]] += met[p][1]
+                low.append(_largest(total[total > 0], k))
+            yield _record(ids=b["ids"], nulls=b["nulls"], terms=b["terms"], ends=b["ends"], rows=b["rows"],
+                          impacts=impact, pairs=list(met), pair_top=[joint.max() for _, joint in met.values()],
+                          low_items=np.repeat(np.arange(len(low)), [len(x) for x in low]),
+                          low_scores=np.concatenate([np.zeros(0, np.int64), *low]))
     return run
 
 
-def _largest(x: np.ndarray, k: int) -> np.ndarray:
-    return x if len(x) <= k else np.partition(x, len(x) - k)[len(x) - k:]
-
-
-def _lower_bounds(items: Items, k: int) -> Callable:
-    """A task's k best lower bounds per item, from the intersection lists alone."""
+def _lower_bounds(size: int, k: int) -> Callable:
+    """A task's k best lower bounds per item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [np.zeros(0, dtype=np.int64) for _ in items.units]
+        item, score = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for b in _records(batches):
-            span = np.full((len(items.pairs) + 1, 2), 0)
-            span[b["pairs"], 1] = b["pair_ends"]
-            span[b["pairs"], 0] = np.concatenate([[0], b["pair_ends"]])[:-1]
-            total = np.zeros(int(b["pair_rows"].max(initial=-1)) + 1, dtype=np.int64)
-            for j, units in enumerate(items.units):
-                total[:] = 0
-                for x, y in span[units[:, 4]].tolist():
-                    if y > x:
-                        total[b["pair_rows"][x:y]] += b["joint"][x:y]
-                best[j] = _largest(np.concatenate([best[j], total[total > 0]]), k)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(np.arange(len(best), dtype=np.int32), [len(x) for x in best])),
-             pa.array(np.concatenate([np.zeros(0, np.int64), *best]))], names=["item", "score"])
+            item, score = np.concatenate([item, b["low_items"]]), np.concatenate([score, b["low_scores"]])
+            order = np.lexsort((-score, item))
+            item, score = item[order], score[order]
+            first = np.searchsorted(item, np.arange(size))
+            keep = np.arange(len(item)) - first[item] < k
+            item, score = item[keep], score[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(score)], names=["item", "score"])
     return run
 
 
@@ -248,14 +250,12 @@ def _search(items: Items, bars: np.ndarray, k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best(int(bar), k) for bar in bars]
         for b in _records(batches):
-            null = b["ids"].is_null().to_numpy(zero_copy_only=False)
-            ids = b["ids"].fill_null(0).to_numpy()
+            ids, null = b["ids"], b["nulls"]
             start = np.concatenate([[0], b["ends"]])
             top, pair_top = np.zeros(size + 1, np.int64), np.zeros(len(items.pairs) + 1, np.int64)
             if len(b["terms"]):
                 top[b["terms"]] = np.maximum.reduceat(b["impacts"], start[:-1])
-            if len(b["pairs"]):
-                pair_top[b["pairs"]] = np.maximum.reduceat(b["joint"], np.concatenate([[0], b["pair_ends"]])[:-1])
+            pair_top[b["pairs"]] = b["pair_top"]
             span = np.zeros((size + 1, 2), dtype=np.int64)
             span[b["terms"], 0], span[b["terms"], 1] = start[:-1], start[1:]
 
@@ -283,7 +283,7 @@ def _ranked(df: DataFrame, k: int, *order) -> DataFrame:
 def _answers(docs: DataFrame, items: Items, k: int) -> DataFrame:
     """(item, rank, doc_id, score) of one group of items."""
     size = len(items.vocabulary)
-    blocks = staged(docs.mapInArrow(_blocks(items.vocabulary), BLOCK), "lexical-blocks")
+    blocks = staged(docs.mapInArrow(_blocks(items.vocabulary), _shape(BLOCK)), "lexical-blocks")
     counts = np.zeros(size + 2, dtype=np.int64)
     sums = (blocks.select("sizes", "terms", "ends").mapInArrow(_frequencies(size), "term long, n long")
             .groupBy("term").agg(F.sum("n").alias("n")).toArrow())  # at most a row per term asked for
@@ -291,15 +291,15 @@ def _answers(docs: DataFrame, items: Items, k: int) -> DataFrame:
     documents, length = map(int, counts[:2])
     weights = np.array([weight(documents, n) for n in counts[2:].tolist()], dtype=np.int64)
     items.pair_off(weights)
-    index = staged(blocks.mapInArrow(_index(items, weights, documents, length), INDEX), "lexical-index")
-    lower = index.select("pairs", "pair_ends", "pair_rows", "joint").mapInArrow(
-        _lower_bounds(items, k), "item int, score long")
+    index = staged(blocks.mapInArrow(_index(items, weights, documents, length, k), _shape(INDEX)), "lexical-index")
+    lower = index.select("low_items", "low_scores").mapInArrow(
+        _lower_bounds(len(items.items), k), "item int, score long")
     # one row an item: the k-th best lower bound, where so many documents have one
     start = _ranked(lower, k).filter(F.col("rank") == k).select("item", "score").toArrow()
     bars = np.zeros(len(items.items), dtype=np.int64)
     bars[start["item"].to_numpy()] = start["score"].to_numpy()
-    found = index.select("ids", "terms", "ends", "rows", "impacts", "pairs", "pair_ends", "joint").mapInArrow(
-        _search(items, bars, k), "item int, doc_id long, score long")
+    found = index.drop("low_items", "low_scores").mapInArrow(_search(items, bars, k),
+                                                             "item int, doc_id long, score long")
     return _ranked(found, k, F.asc_nulls_last("doc_id"))
 
 
