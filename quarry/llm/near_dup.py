@@ -12,8 +12,12 @@
    copies). They are estimated on the sketch of the union (its K smallest
    values), then verified on the full sets. Links join classes to components.
 4. Lists that still hold several components are compared in blocks, only
-   across components, again estimated and then verified. After that every
-   pair of a list is either compared or known to be connected.
+   across components and by the estimate. A block reports which classes hang
+   together by such pairs, as a forest: fewer rows than it has classes.
+5. The classes that hang together over all lists form groups. Each group is
+   compared in blocks on the full sets; a block returns a forest of verified
+   links. After that every pair of a list is either compared or known to be
+   connected.
 """
 
 from __future__ import annotations
@@ -33,7 +37,9 @@ K = 256  # retained values, 32 bits of each
 KEYED = 48  # of them make the keys of the inverted lists
 #: of the K smallest of a union so many are shared at similarity 0.8, but for a chance below 1e-6
 LEAST_SHARED = 171
-BLOCK = 1536  # classes of a list compared at once
+BLOCK = 1536  # classes of a list or group compared at once
+BLOCK_CHARS = 1 << 23  # about so many characters of a group's texts make a block
+HEAD = 256  # pairs of a class checked in one go; more are dealt over several tasks
 
 COLUMNS = 4096  # values whose overlaps are counted by one matrix product
 _PAD = np.iinfo(np.int64).max
@@ -95,14 +101,14 @@ def _alike(n_a: Column, s_a: Column, n_b: Column, s_b: Column, percent: int) ->
 
 
 def _verify(size: int, percent: int):
-    """Keep the pairs whose full sets reach the threshold; rows come sorted by a."""
+    """Keep the pairs whose full sets reach the threshold; rows of a class follow each other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, own = None, set()
         for batch in batches:
             keep = []
-            for a, x, y in zip(*[batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")]):
-                if a != held:
-                    held, own = a, shingles(x, size)
+            for x, y in zip(*[batch.column(c).to_pylist() for c in ("text_a", "text_b")]):
+                if x != held:
+                    held, own = x, shingles(x, size)
                 other = shingles(y, size)
                 both = len(own & other)
                 keep.append(100 * both >= percent * (len(own) + len(other) - both))
@@ -110,17 +116,37 @@ def _verify(size: int, percent: int):
     return run
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Distinct texts of the ids; an id that repeats has each of its texts."""
+    return docs.select("doc_id", "text").join(small(ids), "doc_id", "left_semi").distinct()
+
+
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """Pairs with ``_salt``, which splits the pairs of a class that has many, and the
+    number of its salts: a frequent class meets its partners in several tasks."""
+    many = staged(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HEAD).cast("int").alias("_salts"))
+                  .filter("_salts > 1"), "heads")
+    return (pairs.join(small(many), "a", "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+            .withColumn("_salt", F.pmod(F.xxhash64("b"), F.col("_salts")).cast("int")))
+
+
+def _salted(side: DataFrame, dealt: DataFrame) -> DataFrame:
+    """A row of ``side`` (with column a) for each salt of its class."""
+    salts = dealt.filter("_salts > 1").select("a", "_salts").distinct()
+    return (side.join(small(salts), "a", "left")
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts"))
+
+
 def _links(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Exact check of candidate pairs. Only texts of candidates are shuffled:
-    the list of their ids is broadcast if it is short, else joined."""
+    """Exact check of candidate pairs (with salts). Only texts of candidates are
+    shuffled: the list of their ids is broadcast if it is short, else joined."""
     ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates")
-    # an id that repeats stands for its first text
-    texts = (docs.select("doc_id", "text").join(small(ids), "doc_id", "left_semi")
-             .groupBy("doc_id").agg(F.min("text").alias("text")))
+    texts = _texts(docs, ids)
     second = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = second.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return staged(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(size, percent), "a long, b long"),
-                  "links")
+    first = _salted(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), pairs)
+    both = second.join(first, ["a", "_salt"])
+    return staged(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(size, percent), "a long, b long")
+                  .distinct(), "links")
 
 
 def _shared(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
@@ -142,7 +168,7 @@ def _overlaps(sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     _, column, count = np.unique(np.concatenate(sketches), return_inverse=True, return_counts=True)
     often = count > 1
     column = np.where(often[column], (np.cumsum(often) - 1)[column], -1)
-    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    total = np.zeros((len(left), len(right)))
     for at in range(0, int(often.sum()), COLUMNS):
         own = (column >= at) & (column < at + COLUMNS)
         has = np.zeros((len(sketches), COLUMNS), dtype=np.float32)
@@ -151,58 +177,134 @@ def _overlaps(sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     return total
 
 
-def _compare_blocks(percent: int):
-    """Rows sorted by (key, i, j): the classes of one list's blocks i and j.
+def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``label`` (smallest member of each node's group) once the pairs x, y are joined."""
+    while True:
+        low = np.minimum(label[x], label[y])
+        more = label.copy()
+        for side in (x, y):
+            np.minimum.at(more, label[side], low)
+        more = more[more]
+        if (more == label).all():
+            return label
+        label = more
+
+
+def _across(rows: list[tuple], comp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of blocks i and j of one (key, i, j), and which pairs are across components, once each."""
+    block = np.array([r[5] for r in rows])
+    left, right = np.flatnonzero(block == rows[0][1]), np.flatnonzero(block == rows[0][2])
+    ok = comp[left][:, None] != comp[right][None, :]
+    return left, right, ok if rows[0][1] != rows[0][2] else np.triu(ok, 1)
+
+
+def _by_block(decide):
+    """Rows sorted by (key, i, j): call ``decide`` on the rows of each; it returns links."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in _with_end(batches):
+            a, b = [], []
+            for r in _rows(batch) if batch is not None else [(None,) * 3]:
+                if held and r[:3] != held[0][:3]:
+                    x, y = decide(held)
+                    a, b, held = a + x, b + y, []
+                held.append(r)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return run
+
+
+def _estimate_block(percent: int):
+    """Rows (key, i, j, rep, comp, block, n, sketch): who hangs together by pairs that may reach the threshold.
 
     Matrix products count all overlaps of two blocks; the estimate on the union
-    sketch decides on the pairs that this leaves.
+    sketch decides on the pairs that this leaves, unless they hang together already.
     """
-    def group(rows: list[tuple]) -> tuple[list[int], list[int]]:
-        ids, comp, n, block = (np.array([r[c] for r in rows]) for c in (3, 4, 5, 6))
+    def decide(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        ids, comp, n = (np.array([r[c] for r in rows]) for c in (3, 4, 6))
         size = np.array([len(r[7]) for r in rows])
-        sketch = np.full((len(rows), K), _PAD)
-        for k, r in enumerate(rows):
-            sketch[k, :len(r[7])] = r[7]
-        across = rows[0][1] != rows[0][2]
-        left = np.flatnonzero(block == rows[0][1])
-        right = np.flatnonzero(block == rows[0][2])
-        ok = comp[left][:, None] != comp[right][None, :]
+        left, right, ok = _across(rows, comp)
         ok &= 100 * np.minimum.outer(n[left], n[right]) >= percent * np.maximum.outer(n[left], n[right])
-        if not across:
-            ok = np.triu(ok, 1)
         if len(rows) > 16 and ok.any():
             both = _overlaps([r[7] for r in rows], left, right)
             sizes = np.add.outer(size[left], size[right])
             whole = np.logical_and.outer(n[left] <= K, n[right] <= K) & (sizes - both <= K)
             ok &= np.where(whole, (100 + percent) * (both + 1) >= percent * sizes, both >= LEAST_SHARED)
         x, y = np.nonzero(ok)
+        if not len(x):
+            return [], []
         x, y = left[x], right[y]
-        a, b = [], []
-        for at in range(0, len(x), 4096):
-            i, j = x[at:at + 4096], y[at:at + 4096]
+        sketch = np.full((len(rows), K), _PAD)
+        for k, r in enumerate(rows):
+            sketch[k, :len(r[7])] = r[7]
+        label = np.arange(len(rows))
+        while len(x):
+            i, j = x[:4096], y[:4096]
             good = _shared(sketch[i], sketch[j], n[i], n[j], percent)
-            a += np.minimum(ids[i], ids[j])[good].tolist()
-            b += np.maximum(ids[i], ids[j])[good].tolist()
+            label = _joined(label, i[good], j[good])
+            x, y = x[4096:], y[4096:]
+            apart = label[x] != label[y]
+            x, y = x[apart], y[apart]
+        hung = np.flatnonzero(label != np.arange(len(rows)))
+        return ids[hung].tolist(), ids[label[hung]].tolist()
+    return _by_block(decide)
+
+
+def _verify_block(size: int, percent: int):
+    """Rows (key, i, j, rep, comp, block, text): a forest of links between
+    components whose full sets reach the threshold. Overlaps are counted on
+    64-bit hashes, each link is then confirmed on the shingles themselves."""
+    h = xxhash.xxh3_64_intdigest
+
+    def decide(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        comp = np.unique(np.array([r[4] for r in rows]), return_inverse=True)[1]
+        left, right, ok = _across(rows, comp)
+        sets = []
+        for r in rows:
+            own = shingles(r[6], size)
+            sets.append(np.fromiter(map(h, own), dtype=np.uint64, count=len(own)))
+        n = np.array([len(x) for x in sets])
+        both = _overlaps(sets, left, right)
+        ok &= 100 * both >= percent * (np.add.outer(n[left], n[right]) - both)
+        x, y = np.nonzero(ok)
+        root = list(range(int(comp.max()) + 1))
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+        a, b, c = [], [], comp.tolist()
+        for i, j in zip(left[x].tolist(), right[y].tolist()):
+            u, v = find(c[i]), find(c[j])
+            if u != v:
+                one, two = shingles(rows[i][6], size), shingles(rows[j][6], size)
+                if 100 * len(one & two) >= percent * len(one | two):
+                    root[v] = u
+                    a.append(rows[i][3])
+                    b.append(rows[j][3])
         return a, b
+    return _by_block(decide)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in _with_end(batches):
-            a, b = [], []
-            rows = _rows(batch) if batch is not None else [(None,) * 8]
-            for r in rows:
-                if held and r[:3] != held[0][:3]:
-                    x, y = group(held)
-                    a, b, held = a + x, b + y, []
-                held.append(r)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-    return run
+
+def _in_blocks(members: DataFrame, weight: Column, *columns: str) -> DataFrame:
+    """Rows (key, i, j, rep, comp, block, ...) of ``members`` for every pair of blocks of a
+    key, sorted; blocks hold about ``BLOCK`` classes and at most a bounded ``weight``."""
+    blocks = members.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)),
+                                                   F.ceil(F.sum(weight) / F.lit(BLOCK_CHARS))).alias("_g"))
+    return (members.join(blocks, "key")
+            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("_g")))
+            .withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_g") - 1)))
+            .select("key", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "rep", "comp",
+                    "block", *columns)
+            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep"))
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-    *plain, sketch = batch.columns
-    flat, ends = sketch.values.to_numpy(), sketch.offsets.to_numpy()
+    """Rows of plain values; an array in the last column stays one."""
+    *plain, last = batch.columns
+    if not pa.types.is_list(last.type):
+        return zip(*[c.to_pylist() for c in batch.columns])
+    flat, ends = last.values.to_numpy(), last.offsets.to_numpy()
     return zip(*[c.to_pylist() for c in plain], (flat[x:y].astype(np.int64) for x, y in zip(ends, ends[1:])))
 
 
@@ -240,29 +342,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     lists = staged(ranked.join(heads, "key").select("key", "rep", (-F.col("_top._r")).alias("head")), "lists")
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"),
                                     F.col("sketch").alias(f"s_{x}"))
-    pairs = (lists.filter("rep != head").select(F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b")).distinct()
-             .join(side("b"), "b").join(side("a"), "a")
-             .filter(_alike(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), percent)).select("a", "b"))
+    pairs = staged(_dealt(lists.filter("rep != head").select(
+        F.least("head", "rep").alias("a"), F.greatest("head", "rep").alias("b")).distinct()), "head-pairs")
+    pairs = (pairs.join(side("b"), "b").join(_salted(side("a"), pairs), ["a", "_salt"])
+             .filter(_alike(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"), percent))
+             .select("a", "b", "_salt", "_salts").distinct())
     links = _links(staged(pairs, "pairs"), docs, size, percent)
     groups = staged(components(links), "components")
 
-    placed = staged(lists.join(groups.withColumnRenamed("id", "rep"), "rep", "left")
-                    .select("key", "rep", F.coalesce("component", "rep").alias("comp")), "placed")
-    mixed = (placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y"),
-                                       F.count(F.lit(1)).alias("_c")).filter(F.col("_x") != F.col("_y")))
-    blocks = F.ceil(F.col("_c") / F.lit(BLOCK))
-    dealt = (placed.join(mixed.select("key", blocks.alias("_g")), "key")
-             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("_g")))
-             .withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_g") - 1)))
-             .join(classes.select("rep", "n", "sketch"), "rep")
-             .select("key", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "rep", "comp",
-                     "n", "block", "sketch"))
-    more = (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
-            .mapInArrow(_compare_blocks(percent), "a long, b long").distinct())
-    more = staged(more, "pairs")
-    if not more.isEmpty():
-        links = links.union(_links(more, docs, size, percent))
-        groups = staged(components(links), "components")
+    comp = F.coalesce("component", "rep").alias("comp")
+    placed = staged(lists.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", comp), "placed")
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y")
+    members = placed.join(mixed.select("key"), "key").join(classes.select("rep", "n", "sketch"), "rep")
+    hung = staged(_in_blocks(members, F.lit(0), "n", "sketch").mapInArrow(_estimate_block(percent), "a long, b long")
+                  .distinct(), "hung")
+    if not hung.isEmpty():
+        together = staged(components(hung).select(F.col("id").alias("rep"), F.col("component").alias("key")), "groups")
+        texts = _texts(docs, together.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
+        members = (together.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", comp)
+                   .join(texts, "rep"))
+        more = staged(_in_blocks(staged(members, "members"), F.length("text"), "text")
+                      .mapInArrow(_verify_block(size, percent), "a long, b long"), "links")
+        groups = staged(components(links.select("a", "b").union(more)), "components")
 
     found = (classes.join(groups.withColumnRenamed("id", "rep"), "rep", "left")
              .select("digest", F.coalesce("component", "rep").alias("_comp")))
