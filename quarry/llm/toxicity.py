@@ -35,7 +35,7 @@ _CACHE_WORDS = 400_000
 
 
 class _Hashes(dict):
-    """Word -> 64-bit hash of its first ``cut`` letters, computed once per worker."""
+    """Word -> 64-bit hash of its first ``cut`` letters, computed once per task."""
 
     def __init__(self, cut: int | None):
         super().__init__()
@@ -106,8 +106,12 @@ class Model:
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             dense = np.zeros(1 << BITS, dtype=np.float32)
             dense[slot] = weight
-            for texts in batches:
-                yield pd.Series([_sigmoid(prior + _sum(dense, t)) for t in texts], dtype="float64")
+            try:
+                for texts in batches:
+                    yield pd.Series([_sigmoid(prior + _sum(dense, t)) for t in texts], dtype="float64")
+            finally:  # a worker lives on in later stages, which need the memory
+                _HASHES.clear()
+                _STEMS.clear()
         return score
 
 
