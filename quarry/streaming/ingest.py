@@ -36,7 +36,7 @@ def file_stream(spark: SparkSession, path: str, fmt: str, schema: StructType | s
     for k, v in (options or {}).items():
         r = r.option(k, v)
     df = r.load(path)
-    return df.withColumn("_file", F.col("_metadata.file_path"))
+    return df.withColumns({"_file": F.col("_metadata.file_path"), "_file_time": F.col("_metadata.file_modification_time")})
 
 
 def run(df: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,

@@ -101,3 +101,14 @@ def test_generator_independent_of_partitioning(cat):
     a = generate.customers(src.repartition(2))
     b = generate.customers(src.repartition(7))
     assert rows(a) == rows(b)
+
+
+def test_null_keys_are_keys(spark):
+    old = spark.createDataFrame([(None, 1), ("a", 1)], "k string, v int")
+    new = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    ch = cdc.changes(old, new, "k", with_before=True).collect()
+    assert [(r.k, r.v, r._action, r._before.v) for r in ch] == [("a", 2, "UPDATE", 1)]
+    more = cdc.upsert(old, new.withColumn("v", new.v + 5), "k").table
+    assert {tuple(r) for r in more.collect()} == {(None, 6), ("a", 7)} and more.count() == 2
+    change = spark.createDataFrame([(None, 9, "UPDATE", 1)], "k string, v int, _action string, _seq long")
+    assert {tuple(r) for r in cdc.apply_changes(old, change, "k").table.collect()} == {(None, 9), ("a", 1)}
