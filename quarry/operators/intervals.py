@@ -12,29 +12,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _pieces(df: DataFrame, start: str, end: str, unit: str) -> DataFrame:
-    months = {"month": 1, "quarter": 3, "year": 12}[unit]
-    first = F.trunc(F.col(start), unit)
-    last = F.trunc(F.date_sub(F.col(end), 1), unit)
-    return df.withColumn("_bucket", F.explode(F.sequence(first, last, F.expr(f"INTERVAL {months} MONTH"))))
-
-
-def overlap_days(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
-    d = F.datediff(F.least(a_end, b_end), F.greatest(a_start, b_start))
-    return F.greatest(d, F.lit(0))
-
-
-def metered(usage: DataFrame, rates: DataFrame, unit: str = "month") -> DataFrame:
-    """usage(id..., start, end) × rates(rate_start, rate_end, rate) →
-    usage rows with ``credits`` = Σ overlap days × rate. Dates are
-    half-open [start, end)."""
-    months = {"month": 1, "quarter": 3, "year": 12}[unit]
-    u = _pieces(usage, "start", "end", unit)
-    r = _pieces(rates, "rate_start", "rate_end", unit)
-    j = u.join(r.select("_bucket", "rate_start", "rate_end", "rate"), "_bucket")
-    b_end = F.add_months(F.col("_bucket"), months)
-    days = overlap_days(F.greatest(F.col("start"), F.col("_bucket")), F.least(F.col("end"), b_end),
-                        F.col("rate_start"), F.col("rate_end"))
-    keys = [c for c in usage.columns]
-    return j.groupBy(*keys).agg(F.sum(days * F.col("rate")).alias("credits"))
+SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+_ROWS, _BUCKET = "_rows", "_bucket"
+
+
+def _pieces(df: DataFrame, start: Column, end: Column, unit: str) -> DataFrame:
+    """A row per calendar bucket that [start, end) meets; one with NULL if it meets none."""
+    last = end - F.expr("INTERVAL 1 MICROSECOND")
+    buckets = F.when(start < end, F.sequence(F.date_trunc(unit, start).cast("timestamp_ntz"),
+                                             F.date_trunc(unit, last).cast("timestamp_ntz"), _step(unit)))
+    return df.withColumn(_BUCKET, F.explode_outer(buckets))
+
+
+def _step(unit: str) -> Column:
+    return F.expr(f"INTERVAL {3 if unit == 'quarter' else 1} {'MONTH' if unit == 'quarter' else unit}")
+
+
+def overlap_seconds(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
+    """Length of the common part in seconds, microseconds included; 0 if there is none."""
+    span = F.timestamp_diff("MICROSECOND", F.greatest(a_start, b_start), F.least(a_end, b_end))
+    return F.greatest(span, F.lit(0)) / F.lit(1_000_000)
+
+
+def metered(usage: DataFrame, rates: DataFrame, unit: str = "month", per: str = "day") -> DataFrame:
+    """usage(..., start, end) × rates(rate_start, rate_end, rate) → every usage row
+    with ``credits`` = Σ overlap × rate, the rate being for one ``per`` (second,
+    minute, hour or day).
+
+    Dates or timestamps, half-open [start, end). ``unit`` (hour, day, month,
+    quarter, year) is the bucket both sides are cut at: intervals should span few.
+    Equal usage rows each have their credits; usage that is empty, has a NULL
+    bound, or meets no rate has 0. Empty rate intervals charge nothing, rates
+    that overlap add up.
+    """
+    ntz = lambda c: F.col(c).cast("timestamp_ntz")
+    u = _pieces(usage.groupBy(*usage.columns).agg(F.count(F.lit(1)).alias(_ROWS)), ntz("start"), ntz("end"), unit)
+    r = _pieces(rates.select("rate_start", "rate_end", "rate"), ntz("rate_start"), ntz("rate_end"), unit)
+    j = u.join(r.filter(F.col(_BUCKET).isNotNull()), _BUCKET, "left")
+    spent = overlap_seconds(F.greatest(ntz("start"), F.col(_BUCKET)), F.least(ntz("end"), F.col(_BUCKET) + _step(unit)),
+                            ntz("rate_start"), ntz("rate_end")) / F.lit(SECONDS[per])
+    sums = j.groupBy(*usage.columns, _ROWS).agg(F.coalesce(F.sum(spent * F.col("rate")), F.lit(0.0)).alias("credits"))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col(_ROWS)))
+    return sums.withColumn(_ROWS, copies).drop(_ROWS)

@@ -149,7 +149,8 @@ def class_metrics(scored: DataFrame, label: str = "label", prediction: str = "pr
 
 def auc(scored: DataFrame, label: str, score: str) -> DataFrame:
     """Exact ROC AUC = U / (P·N), U = Σ_pos (#neg below + ½ #neg tied); NULL if
-    there is only one class.
+    there is only one class or no row. Rows whose score is NULL or NaN or whose
+    label is NULL cannot be ranked and take no part.
 
     1. one row per distinct score with its positive/negative counts
        (partial aggregation);
@@ -158,12 +159,15 @@ def auc(scored: DataFrame, label: str, score: str) -> DataFrame:
        totals (one row per bucket) give each bucket's offset;
     3. a window inside each bucket adds the negatives below each score.
     """
-    d = scored.groupBy(F.col(score).alias("s")).agg(
+    known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull()
+    d = scored.filter(known).groupBy(F.col(score).alias("s")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label).cast("long"))).alias("neg"))
     k = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(d.approxQuantile("s", [i / k for i in range(1, k)], 0.001)))
-    d = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="s", outputCol="b").transform(d)
+    cuts = sorted(set(d.approxQuantile("s", [i / k for i in range(1, k)], 0.001)) - {-math.inf, math.inf})
+    # no score, one score or one partition: one bucket
+    d = (Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="s", outputCol="b").transform(d) if cuts
+         else d.withColumn("b", F.lit(0.0)))
     w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     # one row per bucket -> offsets, joined back
     totals = d.groupBy("b").agg(F.sum("neg").alias("bneg"))
@@ -187,7 +191,9 @@ def global_metrics(scored: DataFrame, label: str = "label", prediction: str = "p
                    (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("weighted_recall"),
                    (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("weighted_f1"))
     eps = 1e-15
-    p = F.least(F.greatest(F.col(score), F.lit(eps)), F.lit(1 - eps))
+    # a score that is NULL or NaN has no loss
+    known = F.when(~F.isnan(F.col(score).cast("double")), F.col(score))
+    p = F.when(known.isNotNull(), F.least(F.greatest(known, F.lit(eps)), F.lit(1 - eps)))
     y = F.col(label).cast("double")
     rows = scored.agg((F.sum((F.col(label) == F.col(prediction)).cast("long")) / F.count(F.lit(1)))
                       .alias("accuracy"),

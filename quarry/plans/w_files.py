@@ -6,6 +6,8 @@ stage folder under the shared root, then works on those files.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -260,13 +262,44 @@ def s08_pattern(cat):
        FROM (SELECT *, row_number() OVER (PARTITION BY emp_file ORDER BY ckey) AS rn FROM emp_source)
        GROUP BY emp_file""", "emp_source"))
 def s18_load_history(cat):
-    """Per-file load audit: parsed, errors, loaded, first bad line, status."""
-    a = copy_employees(cat, "continue").audit
+    """Per-file load audit of the loads since an hour ago (parsed, errors, loaded,
+    first bad line, status): of two loads one lies outside the window."""
+    src, work = staged_employee_files(cat), scratch(cat.spark, "copy")
+    now = datetime.now()
+    for k, at in enumerate((now - timedelta(hours=5), now)):
+        load.copy_into(cat.spark, src, EMP_FORMAT, SCHEMAS["emp_basic"], f"{work}/emp_basic", f"{work}/_stage{k}",
+                       on_error="continue", audit_path=f"{work}/_audit", table="emp_basic", load_time=at)
+    a = load.load_history(f"{work}/_audit", cat.spark, since=now - timedelta(hours=1), table="emp_basic")
     return a.select(F.regexp_extract("file", r"emp_file=([^/]+)", 1).alias("file"),
                     "rows_parsed", "errors_seen", "rows_loaded",
                     F.col("first_error_line").cast("double").alias("first_error_line"), "status")
 
 
+@query("s07_copy_once", with_views(
+    "SELECT *, CASE WHEN CAST(transaction_id AS BIGINT) % 3 = 0 THEN 2 ELSE 1 END AS copies FROM b_transactions",
+    "b_transactions", ts=("transaction_date",)))
+def s07_copy_once(cat):
+    """COPY with a ledger: run over a first wave, again without news, then with a
+    second wave beside the first: every file loads once. A last COPY with FORCE
+    loads the third wave's files twice."""
+    work = scratch(cat.spark, "copy-once")
+    wave = F.pmod(F.col("transaction_id").cast("long"), F.lit(3))
+    t = cat.b_transactions
+
+    def copy(source: str, **more) -> load.LoadResult:
+        return load.copy_into(cat.spark, source, sinks.GZIP_CSV, SCHEMAS["transactions"], f"{work}/transactions",
+                              f"{work}/_stage", on_error="continue", ledger=f"{work}/_ledger", **more)
+    sinks.unload_csv(t.filter(wave == 1), f"{work}/files/one")
+    copy(f"{work}/files")
+    copy(f"{work}/files")
+    sinks.unload_csv(t.filter(wave == 2), f"{work}/files/two")
+    copy(f"{work}/files")
+    sinks.unload_csv(t.filter(wave == 0), f"{work}/files/three")
+    copy(f"{work}/files")
+    loaded = copy(f"{work}/files/three", force=True).loaded
+    return loaded.groupBy(*t.columns).agg(F.count(F.lit(1)).cast("int").alias("copies"))
+
+
 @query("s07_copy_into", with_views("SELECT * FROM b_transactions", "b_transactions", ts=("transaction_date",)))
 def s07_copy_into(cat):
     """Staged transactions CSV → COPY INTO typed table, ON_ERROR=CONTINUE."""

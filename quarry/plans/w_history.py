@@ -221,11 +221,40 @@ def m09_summary(cat):
     old = old_snapshot(cat, FEEDS["transactions"])
     groups = ["location_country", "channel"]
     base = summary.build_summary(old, groups, "amount")
-    ch = cdc.changes(old, new_snapshot(cat), "transaction_id")
-    s = summary.refresh_summary(base, old, ch, "transaction_id", groups, "amount")
+    ch = cdc.changes(old, new_snapshot(cat), "transaction_id", with_before=True)
+    s = summary.refresh_summary(base, ch, groups, "amount")
     return s.withColumn("total", F.col("total").cast("double"))
 
 
+def emptied_groups(df: DataFrame) -> DataFrame:
+    """Transactions whose channel is NULL for every seventh row."""
+    return df.withColumn("channel", F.when(F.expr("CAST(transaction_id AS BIGINT) % 7 = 0"), None).otherwise(F.col("channel")))
+
+
+def without_extremes(cat) -> DataFrame:
+    """The new snapshot less the largest and smallest amounts of every group."""
+    return emptied_groups(new_snapshot(cat)).filter("amount BETWEEN 500 AND 9000")
+
+
+@query("m09_extremes", with_views(
+    "SELECT location_country, channel, count(*) AS row_count, CAST(sum(CAST(amount AS DECIMAL(22,2))) AS DOUBLE) AS total, "
+    "min(amount) AS lowest, max(amount) AS highest, "
+    "floor(CAST(sum(CAST(amount AS DECIMAL(22,2))) AS DOUBLE) / count(*) * 10000 + 0.5) / 10000 AS average FROM ("
+    " SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 7 = 0 THEN NULL ELSE channel END AS channel,"
+    "  CASE WHEN CAST(transaction_id AS BIGINT) % 10 = 1 THEN amount * 2 ELSE amount END AS amount) FROM b_transactions"
+    " WHERE CAST(transaction_id AS BIGINT) % 10 != 0) WHERE amount BETWEEN 500 AND 9000 GROUP BY ALL", "b_transactions"))
+def m09_extremes(cat):
+    """Summary with MIN, MAX and AVG after a batch that deletes the extremes of
+    every group, the NULL group included; equals a recompute."""
+    groups = ["location_country", "channel"]
+    old = emptied_groups(old_snapshot(cat, FEEDS["transactions"]))
+    values = summary.build_values(old, groups, "amount")
+    ch = cdc.changes(old, without_extremes(cat), "transaction_id", with_before=True)
+    out, _ = summary.refresh_extremes(summary.summarise(values, groups), values, ch, groups, "amount")
+    return out.withColumns({"total": F.col("total").cast("double"),
+                            "average": F.floor(F.col("average") * 10000 + 0.5) / 10000})
+
+
 @query("m10_clustered", with_views("SELECT * FROM b_transactions", "b_transactions", ts=("transaction_date",)))
 def m10_clustered(cat):
     """Cluster-key layout by (country, date): range-partitioned, sorted files."""
@@ -246,6 +275,11 @@ def boundary(cat) -> Column:
     return e.filter(F.col("event_id") == mid).select("ts").scalar()
 
 
+def boundary_value(cat):
+    """``boundary`` as a value, which picks the files to read."""
+    return cat.spark.range(1).select(boundary(cat)).first()[0]
+
+
 def state_sql(cond: str) -> str:
     return (f"SELECT {STATE_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, seq DESC) AS rn "
             f"FROM change_log WHERE {cond}) WHERE rn = 1 AND action != 'DELETE'")
@@ -266,6 +300,26 @@ def m07_before_batch(cat):
     return history.state_before_batch(cat.change_log, 15)
 
 
+def snapshot_log(cat) -> history.SnapshotLog:
+    """The change log with base snapshots at eight times, evenly spaced over its batches."""
+    log = history.SnapshotLog(cat.spark, f"{scratch(cat.spark, 'snapshot-log')}/log")
+    spans = cat.change_log.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    log.write(cat.change_log, [spans.a + (spans.b - spans.a) * i / 8 for i in range(1, 8)])
+    return log
+
+
+@query("m07_snapshot_at", with_views(state_sql(f"ts <= {BOUNDARY_SQL}"), "change_log", ts=("ts",)))
+def m07_snapshot_at(cat):
+    """AT a time from the nearest base snapshot and the changes after it."""
+    return snapshot_log(cat).state_at(boundary_value(cat))
+
+
+@query("m07_snapshot_before", with_views(state_sql(f"ts < {BOUNDARY_SQL}"), "change_log", ts=("ts",)))
+def m07_snapshot_before(cat):
+    """BEFORE a time from the nearest base snapshot."""
+    return snapshot_log(cat).state_at(boundary_value(cat), inclusive=False)
+
+
 @query("m08_retention", with_views(
     f"SELECT key, ts, seq, action, event_type, value, batch_id FROM ("
     f" SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, seq DESC) AS rn"

@@ -93,27 +93,36 @@ def _without_first_lines(n: int):
                     held, seen = (path, start), 0
                 seen += 1
                 keep.append(start > 0 or seen > n)
-            yield batch.select(["value"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def _skip_lines(spark: SparkSession, path: str, fmt: CsvFormat, schema: StructType | None) -> DataFrame:
-    """SKIP_HEADER above 1: lines dropped by position, the others parsed as CSV."""
+def _skip_lines(spark: SparkSession, path: str | list[str], fmt: CsvFormat, schema: StructType | None,
+                corrupt_col: str | None) -> DataFrame:
+    """SKIP_HEADER above 1: lines dropped by position, the others parsed as CSV.
+    With a corrupt column the file's metadata stay with every row."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"),
                                          F.col("_metadata.file_block_start").alias("start"))
     options = {**fmt.reader_options(), "header": "false"}
     if schema is None:
         names = spark.read.options(**options).csv(path).columns
         schema = StructType([StructField(c, StringType(), True) for c in names])
-    rest = lines.mapInArrow(_without_first_lines(fmt.skip_header), "value string")
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return rest.select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
+    fields = list(schema.fields)
+    if corrupt_col:
+        fields.append(StructField(corrupt_col, StringType(), True))
+        options["columnNameOfCorruptRecord"] = corrupt_col
+    rest = lines.mapInArrow(_without_first_lines(fmt.skip_header), "value string, path string, start long")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    out = rest.select(F.from_csv("value", ddl, options).alias("r"), F.struct(
+        F.col("path").alias("file_path"), F.col("start").alias("file_block_start")).alias("_metadata"))
+    return out.select("r.*", *(["_metadata"] if corrupt_col else []))
 
 
 def _typed_null_if(df: DataFrame, schema: StructType, values: tuple[str, ...], sep: str,
                    corrupt_col: str | None) -> DataFrame:
     """Several null tokens in typed columns: columns read as text, tokens to
-    NULL, then cast; a row with a value that does not cast is corrupt."""
+    NULL, then cast; a row with a value that does not cast is corrupt, and so is
+    one the reader found corrupt (missing or extra fields)."""
     text = {f.name: F.col(f"`{f.name}`") for f in schema.fields}
     kept = {n: F.when(c.isin(*values), F.lit(None)).otherwise(c) for n, c in text.items()}
     cast = {f.name: kept[f.name].try_cast(f.dataType) for f in schema.fields}
@@ -122,21 +131,39 @@ def _typed_null_if(df: DataFrame, schema: StructType, values: tuple[str, ...], s
         bad = F.lit(False)
         for n in text:
             bad = bad | (kept[n].isNotNull() & cast[n].isNull())
-        cols.append(F.when(bad, F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in text.values()])).alias(corrupt_col))
-    return df.select(*cols)
+        cols.append(F.coalesce(corrupt_col, F.when(bad, F.concat_ws(
+            sep, *[F.coalesce(c, F.lit("")) for c in text.values()]))).alias(corrupt_col))
+    # a column only for lines dropped by position; the reader's own stay in reach
+    return df.select(*cols, *[c for c in df.columns if c == "_metadata"])
+
+
+def _as_text(schema: StructType | None, fmt: CsvFormat) -> StructType | None:
+    """Text columns where null tokens must be told from values before the cast."""
+    if schema is None or not fmt.null_if:
+        return schema
+    return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
 
 
-def read_csv(spark: SparkSession, path: str, fmt: CsvFormat,
+def _null_if(df: DataFrame, schema: StructType | None, fmt: CsvFormat, corrupt_col: str | None) -> DataFrame:
+    if schema is None or not fmt.null_if:
+        return apply_null_if(df, fmt.null_if)
+    return _typed_null_if(df, schema, fmt.null_if, fmt.delimiter, corrupt_col)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], fmt: CsvFormat,
              schema: StructType | None = None, corrupt_col: str | None = None) -> DataFrame:
     if fmt.skip_header > 1:
-        return apply_null_if(_skip_lines(spark, path, fmt, schema), fmt.null_if)
+        return _null_if(_skip_lines(spark, path, fmt, _as_text(schema, fmt), corrupt_col), schema, fmt, corrupt_col)
     r = spark.read.options(**fmt.reader_options())
     typed = schema is not None and any(not isinstance(f.dataType, StringType) for f in schema.fields)
     if typed and len(fmt.null_if) == 1:
         r = r.option("nullValue", fmt.null_if[0])
     elif typed and fmt.null_if:
-        raw = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-        return _typed_null_if(r.schema(raw).csv(path), schema, fmt.null_if, fmt.delimiter, corrupt_col)
+        raw = _as_text(schema, fmt)
+        if corrupt_col:
+            raw = StructType(raw.fields + [StructField(corrupt_col, StringType(), True)])
+            r = r.option("columnNameOfCorruptRecord", corrupt_col)
+        return _null_if(r.schema(raw).csv(path), schema, fmt, corrupt_col)
     if schema is not None:
         if corrupt_col:
             schema = StructType(schema.fields + [StructField(corrupt_col, StringType(), True)])
@@ -255,26 +282,27 @@ def tag_rows(df: DataFrame) -> DataFrame:
     """Capture, in the scan itself, what row numbering needs later: the
     file, the start of the split the row came from, and a per-task
     monotonically increasing id (consecutive within a split)."""
-    return df.select("*",
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != "_metadata"],
                      F.col("_metadata.file_path").alias(FILE),
                      F.col("_metadata.file_block_start").alias(BLOCK),
                      F.monotonically_increasing_id().alias(ROW_ID))
 
 
-def number_rows(tagged: DataFrame, out: str = "file_row_number") -> DataFrame:
+def number_rows(tagged: DataFrame, out: str = "file_row_number", only: DataFrame | None = None) -> DataFrame:
     """1-based row number of each row inside its file (S17), for text
     formats that have no ``_metadata.row_index``.
 
     Prefix sums over splits: one small row per (file, split) gives each
     split's offset, which is joined back. No window ever holds a whole
     file, so a 100 GB file is numbered by as many tasks as it has splits.
+    ``only`` is the part of ``tagged`` whose rows need a number.
     """
     splits = tagged.groupBy(FILE, BLOCK).agg(
         F.min(ROW_ID).alias("_first_id"), F.count(F.lit(1)).alias("_rows"))
     w = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(FILE, BLOCK, "_first_id",
                             F.coalesce(F.sum("_rows").over(w), F.lit(0)).alias("_offset"))
-    j = tagged.join(offsets, [FILE, BLOCK])
+    j = (tagged if only is None else only).join(offsets, [FILE, BLOCK])
     return (j.withColumn(out, F.col("_offset") + (F.col(ROW_ID) - F.col("_first_id")) + 1)
             .drop("_offset", "_first_id"))
 

@@ -43,16 +43,27 @@ def test_flatten_array_and_object(spark):
 
 
 def test_metered_credits_34(spark):
-    """Usage c1 0-180, c2 60-180, c3 120-135; rates 0-90 at 4/h, 90-180 at
-    8/h. Minutes are modelled as days; 60 units make an hour."""
-    d0 = dt.date(2024, 1, 1)
+    """Usage c1 0-180, c2 60-180, c3 120-135 minutes; rates 0-90 at 4 an hour, 90-180 at 8."""
+    def at(minutes):
+        return dt.datetime(2024, 1, 31, 22, 0) + dt.timedelta(minutes=minutes)
 
-    def d(n):
-        return d0 + dt.timedelta(days=n)
+    usage = spark.createDataFrame([("c1", at(0), at(180)), ("c2", at(60), at(180)), ("c3", at(120), at(135))],
+                                  "cluster string, start timestamp_ntz, end timestamp_ntz")
+    rates = spark.createDataFrame([(at(0), at(90), 4), (at(90), at(180), 8)],
+                                  "rate_start timestamp_ntz, rate_end timestamp_ntz, rate int")
+    for unit in ("hour", "day", "month", "quarter", "year"):
+        got = {r.cluster: r.credits for r in intervals.metered(usage, rates, unit=unit, per="hour").collect()}
+        assert {k: round(v, 9) for k, v in got.items()} == {"c1": 18, "c2": 14, "c3": 2} and round(sum(got.values()), 9) == 34
 
-    usage = spark.createDataFrame([("c1", d(0), d(180)), ("c2", d(60), d(180)), ("c3", d(120), d(135))],
-                                  "cluster string, start date, end date")
-    rates = spark.createDataFrame([(d(0), d(90), 4), (d(90), d(180), 8)],
+
+def test_metered_keeps_every_usage_row(spark):
+    """Equal, empty, backward, unpriced and open usage rows; long spans; rates that overlap or are empty."""
+    d = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    usage = spark.createDataFrame([("a", d(0), d(2)), ("a", d(0), d(2)), ("b", d(5), d(5)), ("c", d(9), d(3)),
+                                   ("d", d(-900), d(-800)), ("e", None, d(3)), ("f", d(-4000), d(4000)), (None, d(1), d(3))],
+                                  "id string, start date, end date")
+    rates = spark.createDataFrame([(d(0), d(10), 4), (d(1), d(2), 1), (d(7), d(7), 100), (None, d(9), 100)],
                                   "rate_start date, rate_end date, rate int")
-    total = intervals.metered(usage, rates).agg(F.sum("credits")).first()[0]
-    assert total / 60 == 34
+    got = sorted(((r.id or "", r.credits) for r in intervals.metered(usage, rates).collect()))
+    assert got == [("", 9), ("a", 9), ("a", 9), ("b", 0), ("c", 0), ("d", 0), ("e", 0), ("f", 41)]
+    assert all(r.credits == 0 for r in intervals.metered(usage, rates.limit(0)).collect())
