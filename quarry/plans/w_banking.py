@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions.scalars import round_half_up
 
 from quarry.functions import scalars
-from quarry.operators import relational as rel
+from quarry.operators import relational as rel, screening
 from quarry.plans.oracle_views import view, with_views
 from quarry.plans.registry import query
 
@@ -184,6 +184,22 @@ def j07_watchlist(cat):
     return rel.screen(cat.b_customers, cat.b_watchlist)
 
 
+def _norm_sql(name: str) -> str:
+    return f"trim(regexp_replace(lower(regexp_replace({name}, '[^A-Za-z0-9 ]', ' ', 'g')), '\\s+', ' ', 'g'))"
+
+
+@query("j07_fuzzy", with_views(f"""
+    SELECT party_kind, party_id, p.name, entity_id, source, risk_category, CAST(levenshtein(p.name, w.name) AS INT) AS distance
+    FROM (SELECT 'customer' AS party_kind, customer_id AS party_id, {_norm_sql("first_name || ' ' || last_name")} AS name
+          FROM b_customers
+          UNION ALL SELECT DISTINCT 'counterparty', merchant_name, {_norm_sql("merchant_name")} FROM b_transactions) p
+    JOIN (SELECT *, {_norm_sql("entity_name")} AS name FROM b_watchlist) w ON levenshtein(p.name, w.name) <= 1""",
+    "b_customers", "b_transactions", "b_watchlist"))
+def j07_fuzzy(cat):
+    """Customers and counterparties within one edit of a listed name."""
+    return screening.screen_fuzzy(screening.parties(cat.b_customers, cat.b_transactions), cat.b_watchlist, 1)
+
+
 @query("c08_dateadd", with_views("""
 SELECT event_id, ts - INTERVAL 1 HOUR AS ts_minus_1h FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 24 HOUR""", ts=("ts_minus_1h",)))

@@ -182,3 +182,58 @@ def test_auc_leaves_out_what_cannot_be_ranked(spark):
     one = ml.auc(spark.createDataFrame([(True, True, 0.5), (False, True, 0.5)], shape), "label", "score").first()
     assert one.auc == 0.5
     assert 0 < ml.global_metrics(df.filter("label IS NOT NULL")).first().auc < 1
+
+
+# -- layout and screening --------------------------------------------------------------
+def test_files_are_skipped_on_either_cluster_key(spark, tmp_path):
+    import glob
+    import pyarrow.parquet as pq
+    from quarry.sources import sinks
+    rng = random.Random(4)
+    day = dt.datetime(2024, 1, 1)
+    rows = [(rng.choice("ABCDEFGHIJKLMNOP") + rng.choice("xyz"), day + dt.timedelta(hours=rng.randrange(9000)), i)
+            for i in range(6000)] + [(None, day, -1), ("A", None, -2)]
+    df = spark.createDataFrame(rows, "c string, t timestamp_ntz, i int").repartition(4)
+    got = sinks.write_clustered(df, str(tmp_path / "z"), ["c", "t"], files=16)
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    hits = {"c": 0, "t": 0}
+    want = {"c": "Hy", "t": day + dt.timedelta(hours=4000)}
+    files = glob.glob(f"{tmp_path}/z/*.parquet")
+    assert 12 <= len(files) <= 16
+    for f in files:
+        group = pq.ParquetFile(f).metadata.row_group(0)
+        for k in range(group.num_columns):
+            column = group.column(k)
+            if column.path_in_schema in want and column.statistics.has_min_max:
+                lo, hi = column.statistics.min, column.statistics.max
+                hits[column.path_in_schema] += lo <= want[column.path_in_schema] <= hi
+    assert 0 < hits["c"] <= len(files) // 2 and 0 < hits["t"] <= len(files) // 2
+    assert sinks.write_clustered(df.limit(0), str(tmp_path / "none"), ["c", "t"]).count() == 0
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2])
+def test_similar_names_against_all_pairs(spark, distance):
+    from quarry.operators import screening
+    rng = random.Random(distance)
+
+    def edit(s):
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(s) + 1)
+            s = rng.choice([s[:k] + rng.choice("abé ") + s[k:], s[:k] + s[k + 1:], s[:k] + "b" + s[k + 1:]])
+        return s
+    base = ["".join(rng.choice("ab c") for _ in range(rng.randint(0, 14))) for _ in range(60)]
+    left, right = base + [edit(s) for s in base] + [None, "", "aaaaaaa", "aaaaaaaa"], [edit(s) for s in base] + ["a", "", None]
+
+    def far(a, b):
+        line = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, line[0] = line[0], i
+            for j, y in enumerate(b, 1):
+                last, line[j] = line[j], min(line[j] + 1, line[j - 1] + 1, last + (x != y))
+        return line[-1]
+    want = {(a, b, far(a, b)) for a in set(left) for b in set(right)
+            if a is not None and b is not None and far(a, b) <= distance}
+    one = lambda names: spark.createDataFrame([(n,) for n in names], "name string")
+    got = screening.similar_names(one(left), one(right), distance)
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
