@@ -98,6 +98,10 @@ def customers(source: DataFrame, id_col: str = "c_custkey") -> DataFrame:
     )
 
 
+#: the generator's present day: every run makes the same rows; all customers are older
+TODAY = "2024-06-01"
+
+
 def accounts(custs: DataFrame) -> DataFrame:
     """1-3 accounts per customer; a credit limit only for cards."""
     c = F.col("customer_id")
@@ -109,7 +113,8 @@ def accounts(custs: DataFrame) -> DataFrame:
     return base.select(
         uuid_of(seed, "account").alias("account_id"), "customer_id", F.col("k").alias("account_no"),
         atype.alias("account_type"), choose(ACCOUNT_STATUSES, seed, "status").alias("account_status"),
-        F.date_add("customer_since", (h(seed, "open") % 1000).cast("int")).alias("open_date"),
+        F.date_add("customer_since", (h(seed, "open") % (F.datediff(F.lit(TODAY).cast("date"), "customer_since") + 1))
+                   .cast("int")).alias("open_date"),
         uniform(seed, "bal", 0.0, 100000.0).alias("current_balance"),
         currency_of(F.col("country")).alias("currency"),
         F.when(atype == "credit card", uniform(seed, "limit", 1000.0, 50000.0)).otherwise(F.lit(0.0))

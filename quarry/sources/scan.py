@@ -20,6 +20,9 @@ BLOCK = "_quarry_block"
 FILE = "_quarry_file"
 
 
+NO_DATA = "\u0001\u0002\u0001"
+
+
 @dataclass(frozen=True)
 class CsvFormat:
     """A named CSV file format.
@@ -44,6 +47,9 @@ class CsvFormat:
         o = {"sep": self.delimiter, "header": "true" if self.skip_header else "false",
              "mode": "PERMISSIVE"}
         o["quote"] = self.enclosure if self.enclosure else "\u0000"
+        if self.enclosure and self.empty_field_as_null:
+            # a token no data holds: an empty field reads as it, and so as NULL, an enclosed one as ''
+            o["nullValue"] = NO_DATA
         if self.escape:
             o["escape"] = self.escape
         if self.multi_line:

@@ -68,3 +68,25 @@ def test_generated_csv_compares_every_column(cat, monkeypatch, table, column):
     monkeypatch.setattr(w_generate.sinks, "unload_csv", lossy)
     with pytest.raises(ValueError, match=table):
         w_generate.g06_csv(cat)
+
+
+def test_empty_strings_and_nulls_stay_apart_in_csv(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+    from quarry.sources import sinks
+    from quarry.sources.scan import read_csv
+    schema = StructType([StructField("k", IntegerType()), StructField("s", StringType()), StructField("n", IntegerType())])
+    rows = [(1, "", 1), (2, None, None), (3, " ", 3), (4, '"', None), (None, "a,b\n", 5)]
+    path = sinks.unload_csv(spark.createDataFrame(rows, schema), str(tmp_path / "u"))
+    for read in (schema, None):
+        got = read_csv(spark, path, sinks.GZIP_CSV, read)
+        assert {(r[0] and int(r[0]), r[1], r[2] and int(r[2])) for r in got.collect()} == set(rows)
+    assert not any(r._bad for r in read_csv(spark, path, sinks.GZIP_CSV, schema, "_bad").collect())
+
+
+def test_accounts_open_between_the_customer_and_today(spark):
+    import datetime as dt
+    from quarry.operators import generate as gen
+    c = gen.customers(spark.range(300).withColumnRenamed("id", "c_custkey"))
+    rows = gen.accounts(c).join(c.select("customer_id", "customer_since"), "customer_id").collect()
+    assert all(r.customer_since <= r.open_date <= dt.date.fromisoformat(gen.TODAY) for r in rows)
+    assert len({r.open_date for r in rows}) > 100
