@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.functions.scalars import default_zip
 
@@ -60,3 +61,31 @@ def marts(master: DataFrame) -> tuple[DataFrame, DataFrame]:
     """PERSON_AGE(name, age) and PERSON_LOCATION(name, location) (N03),
     recomputed from the master so re-runs never duplicate rows (D6)."""
     return master.select("name", "age"), master.select("name", "location")
+
+
+def strip_outer_array(docs: DataFrame, text: str, element: str = "element") -> DataFrame:
+    """STRIP_OUTER_ARRAY: one row per element of a document that is an array,
+    one row for any other document; ``element`` is a VARIANT. Text that is no
+    JSON keeps one row whose element is NULL; blank text and empty arrays give
+    none. The other columns, the text included, are carried along."""
+    v = F.try_parse_json(F.col(f"`{text}`"))
+    items = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+    return (docs.filter(F.trim(F.regexp_replace(F.col(f"`{text}`"), r"\s+", " ")) != "")
+            .select("*", F.explode(items).alias(element)))
+
+
+def typed_fields(element: str, schema: StructType, names: dict[str, str] | None = None) -> tuple[list[Column], Column]:
+    """``$1:field::type`` for every column of ``schema`` out of one element, and
+    the reasons why a load should reject it: ``not an object``, or the columns
+    whose value is there but does not cast. ``names`` maps a column to a JSON
+    field of another name (JSON names are case-sensitive)."""
+    v = F.col(f"`{element}`")
+    cols, bad = [], [F.when(~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)),
+                            F.lit("not an object"))]
+    for f in schema.fields:
+        p = f"$['{(names or {}).get(f.name, f.name)}']"
+        c = F.try_variant_get(v, p, f.dataType.simpleString())
+        there = F.try_variant_get(v, p, "variant")
+        bad.append(F.when(there.isNotNull() & ~F.is_variant_null(there) & c.isNull(), F.lit(f.name)))
+        cols.append(c.alias(f.name))
+    return cols, F.array_compact(F.array(*bad))

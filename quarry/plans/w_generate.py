@@ -149,17 +149,8 @@ def j06_metered_usage(cat):
 
 
 # -- R01 ---------------------------------------------------------------------------
-@query("r01_layers", with_views("""
-SELECT location_country, channel, count(*) AS transactions, floor(sum(amount) * 100 + 0.5) / 100 AS total_amount
-FROM (SELECT location_country, lower(channel) AS channel, amount FROM b_transactions
-      WHERE CAST(transaction_id AS BIGINT) % 97 != 0
-      UNION ALL
-      SELECT location_country, lower(channel), amount - 1 FROM b_transactions
-      WHERE CAST(transaction_id AS BIGINT) % 97 = 0 AND CAST(transaction_id AS BIGINT) % 7 = 0)
-GROUP BY ALL""", "b_transactions"))
-def r01_layers(cat):
-    """RAW (strings, padded, duplicated versions, unparsable amounts) →
-    CLEANSED (typed, trimmed, latest per key, rejects split off) → REPORT."""
+def raw_transactions(cat):
+    """Strings, padded, some keys in two versions, every 97th newest amount unparsable."""
     t = cat.b_transactions
     k = F.col("transaction_id").cast("long")
     raw_cols = [F.col(c).cast("string").alias(c) for c in t.columns if c not in ("amount", "channel")]
@@ -169,9 +160,50 @@ def r01_layers(cat):
                       F.lit(2).alias("_ingest_seq"))
     older = t.filter(k % 7 == 0).select(*raw_cols, (F.col("amount") - 1).cast("string").alias("amount"),
                                         F.col("channel"), F.lit(1).alias("_ingest_seq"))
-    raw = newest.unionByName(older)
-    lay = layers.cleanse(raw, SCHEMAS["transactions"], "transaction_id", "_ingest_seq")
-    c = lay.cleansed.withColumn("channel", F.lower("channel"))
+    return newest.unionByName(older)
+
+
+def channel_report(cleansed):
+    c = cleansed.withColumn("channel", F.lower("channel"))
     return c.groupBy("location_country", "channel").agg(
         F.count(F.lit(1)).alias("transactions"),
         (F.floor(F.sum("amount") * 100 + F.lit(0.5)) / 100).alias("total_amount"))
+
+
+def written_layers(cat) -> layers.Warehouse:
+    return layers.write_layers(raw_transactions(cat), SCHEMAS["transactions"], "transaction_id", "_ingest_seq",
+                               scratch(cat.spark, "layers"), {"by_channel": channel_report})
+
+
+CLEANSED_SQL = """
+SELECT transaction_id, location_country, channel, amount FROM (
+  SELECT transaction_id, location_country, upper(channel) AS channel, amount FROM b_transactions
+  WHERE CAST(transaction_id AS BIGINT) % 97 != 0
+  UNION ALL
+  SELECT transaction_id, location_country, channel, amount - 1 FROM b_transactions
+  WHERE CAST(transaction_id AS BIGINT) % 97 = 0 AND CAST(transaction_id AS BIGINT) % 7 = 0)"""
+
+
+@query("r01_layers", with_views(f"""
+SELECT location_country, lower(channel) AS channel, count(*) AS transactions,
+       floor(sum(amount) * 100 + 0.5) / 100 AS total_amount
+FROM ({CLEANSED_SQL}) GROUP BY ALL""", "b_transactions"))
+def r01_layers(cat):
+    """RAW, CLEANSED and REPORT as written tables; the report is returned."""
+    return cat.spark.read.parquet(written_layers(cat).report("by_channel"))
+
+
+@query("r01_cleansed", with_views(CLEANSED_SQL, "b_transactions"))
+def r01_cleansed(cat):
+    """The CLEANSED table: typed, trimmed, the latest good version per key."""
+    return cat.spark.read.parquet(written_layers(cat).cleansed).select(
+        "transaction_id", "location_country", "channel", "amount")
+
+
+@query("r01_rejects", with_views("""
+SELECT transaction_id, 'n/a' AS amount, '  ' || upper(channel) || ' ' AS channel, 'amount' AS rejected_columns
+FROM b_transactions WHERE CAST(transaction_id AS BIGINT) % 97 = 0""", "b_transactions"))
+def r01_rejects(cat):
+    """The reject table: raw values and the columns that did not cast."""
+    r = cat.spark.read.parquet(written_layers(cat).rejects)
+    return r.select("transaction_id", "amount", "channel", F.concat_ws(",", layers.REASON).alias(layers.REASON))

@@ -130,3 +130,13 @@ def s05_json_stats_typed(cat):
     scan.unload_json_arrays(cat.c_stats, f"{stage}/stats", bucket_col="primary_key")
     loaded = scan.scan_json(cat.spark, f"{stage}/stats", scan.SCHEMAS["stats_table"])
     return loaded.select("primary_key", "last_blitz", F.col("fide").cast("double").alias("fide"))
+
+
+@query("s05_json_info_typed", with_views("SELECT * FROM c_info", "c_info", dates=("joined",)))
+def s05_json_info_typed(cat):
+    """Info documents unloaded as JSON arrays and loaded back with the declared schema."""
+    from quarry.sources import scan
+    from quarry.session import scratch
+    stage = scratch(cat.spark, "chess-stage")
+    scan.unload_json_arrays(cat.c_info, f"{stage}/info")
+    return scan.scan_json(cat.spark, f"{stage}/info", scan.SCHEMAS["info_table"])
