@@ -9,13 +9,16 @@ than one bucket of distinct scores.
 
 from __future__ import annotations
 
+import json
 import math
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Bucketizer, HashingTF, RegexTokenizer, StringIndexer, VectorAssembler
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import (Bucketizer, HashingTF, RegexTokenizer, SQLTransformer, StringIndexer, TargetEncoder,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CATEGORICAL = ["currency", "transaction_type", "channel", "merchant_name", "merchant_category",
@@ -32,18 +35,48 @@ def transaction_features(tx: DataFrame) -> DataFrame:
 NUMERIC = ["amount", "tx_year", "tx_month", "tx_dow"]
 
 
-def classifier_pipeline(target: str, seed: int = 42, trees: int = 20, depth: int = 5, bins: int = 32) -> Pipeline:
-    """Indexers, label indexer, assembler, forest. Categories unseen in training
-    share one index, so scoring keeps every row; ``bins`` must cover the
-    largest category list plus that index."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in CATEGORICAL]
+#: hash slots a categorical column is folded into before it is encoded
+SLOTS = 1024
+#: pseudo-rows of the overall rate in the rate of a slot
+SMOOTHING = 20.0
+LABEL_STAGE = 0
+
+
+def classifier_pipeline(target: str, seed: int = 42, trees: int = 20, depth: int = 5, slots: int = SLOTS,
+                        classes: int = 2, algorithm: str = "forest", validation: str | None = None) -> Pipeline:
+    """Label indexer, hash slots, rate encoder, assembler, trees.
+
+    A category becomes the smoothed rate of the target among the training rows
+    of its hash slot. Rates are fitted by one aggregation and the model holds
+    at most ``slots`` numbers a column, however many categories there are, and
+    no category list reaches the driver. NULL has a slot like any value; a slot
+    unseen in training has the overall rate, so scoring keeps every row. With
+    more than two classes the rate is the mean class index.
+    """
     label = StringIndexer(inputCol=f"{target}_str", outputCol="label", handleInvalid="skip",
                           stringOrderType="alphabetAsc")
-    asm = VectorAssembler(inputCols=NUMERIC + [f"{c}_idx" for c in CATEGORICAL], outputCol="features",
-                          handleInvalid="keep")
-    rf = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth,
-                                seed=seed, maxBins=bins)
-    return Pipeline(stages=[*idx, label, asm, rf])
+    slot = SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"CAST(pmod(xxhash64(`{c}`), {slots}) AS DOUBLE) AS `{c}_slot`" for c in CATEGORICAL) + " FROM __THIS__")
+    encoder = TargetEncoder(inputCols=[f"{c}_slot" for c in CATEGORICAL], outputCols=[f"{c}_code" for c in CATEGORICAL],
+                            labelCol="label", handleInvalid="keep", smoothing=SMOOTHING,
+                            targetType="binary" if classes <= 2 else "continuous")
+    # the encoder marks its outputs as categories, which trees would not cut as numbers
+    rate = SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"`{c}_code` + 0.0D AS `{c}_rate`" for c in CATEGORICAL) + " FROM __THIS__")
+    asm = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
+    shared = {"labelCol": "label", "featuresCol": "features", "maxDepth": depth, "seed": seed}
+    if algorithm == "forest":
+        model = RandomForestClassifier(numTrees=trees, **shared)
+    elif algorithm == "boosted":
+        model = GBTClassifier(maxIter=trees, **shared)
+        if validation is not None:
+            model.setValidationIndicatorCol(validation)
+    else:
+        raise ValueError(f"algorithm is forest or boosted, not {algorithm}")
+    return Pipeline(stages=[label, slot, encoder, rate, asm, model])
+
+
+FEATURES = NUMERIC + [f"{c}_rate" for c in CATEGORICAL]
 
 
 def prepare(tx: DataFrame, target: str) -> DataFrame:
@@ -55,12 +88,60 @@ def trainable(data: DataFrame, target: str) -> DataFrame:
     return data.dropna(subset=[*NUMERIC, f"{target}_str"])
 
 
-def train(tx: DataFrame, target: str = "is_flagged", seed: int = 42) -> PipelineModel:
+def train(tx: DataFrame, target: str = "is_flagged", seed: int = 42, **options) -> PipelineModel:
+    """CREATE ... CLASSIFICATION with ON_ERROR = SKIP: a random forest."""
     data = trainable(prepare(tx, target), target)
-    lists = Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"{c}_n", handleInvalid="keep")
-                             for c in CATEGORICAL]).fit(data)
-    bins = max(32, *[len(s.labels) + 1 for s in lists.stages])
-    return classifier_pipeline(target, seed, bins=bins).fit(data)
+    classes = len(data.select(f"{target}_str").distinct().limit(3).collect())
+    return classifier_pipeline(target, seed, classes=classes, **options).fit(data)
+
+
+VALIDATION = "_validation"
+
+
+@dataclass
+class Boosted:
+    """A boosted model with its log of rounds."""
+    model: PipelineModel
+    log: DataFrame
+
+
+def train_boosted(tx: DataFrame, validation: Column, target: str = "is_flagged", seed: int = 42, rounds: int = 20,
+                  depth: int = 5, slots: int = SLOTS) -> Boosted:
+    """Gradient-boosted trees for a target of two classes, stopped early on the
+    rows that ``validation`` marks (NULL: not marked). They decide when to stop
+    and are in no tree; label names and rates come from the other rows alone,
+    and a label these do not have is skipped.
+
+    SHOW_TRAINING_LOGS: per round kept in the model its log loss on both parts
+    (NULL without rows), the rows given, used, held for validation and skipped,
+    and the parameters as JSON. At most ``rounds`` rows reach the driver.
+    """
+    data = prepare(tx, target).withColumn(VALIDATION, F.coalesce(validation, F.lit(False)))
+    ok = trainable(data, target)
+    used, held = ok.filter(~F.col(VALIDATION)), ok.filter(VALIDATION)
+    if len(used.select(f"{target}_str").distinct().limit(3).collect()) != 2:
+        raise ValueError("boosted trees need a target of exactly two classes")
+    *encoding, trees = classifier_pipeline(target, seed, rounds, depth, slots, 2, "boosted", VALIDATION).getStages()
+    encoder = Pipeline(stages=encoding).fit(used)
+    counts = data.select(F.count(F.lit(1)).alias("rows_in")).first()
+    fitted = encoder.transform(ok).select("label", "features", VALIDATION)
+    parts = {r[VALIDATION]: r["n"] for r in fitted.groupBy(VALIDATION).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_used, n_held = parts.get(False, 0), parts.get(True, 0)
+    if not n_held:
+        trees.clear(trees.validationIndicatorCol)
+    model = trees.fit(fitted)
+    losses = model.evaluateEachIteration(fitted.filter(~F.col(VALIDATION)))
+    held_losses = (model.evaluateEachIteration(encoder.transform(held).select("label", "features")) if n_held
+                   else [None] * len(losses))
+    params = json.dumps({"algorithm": "boosted", "target": target, "max_rounds": rounds, "max_depth": depth,
+                         "slots": slots, "smoothing": SMOOTHING, "seed": seed, "step": model.getStepSize(),
+                         "numeric": NUMERIC, "categorical": CATEGORICAL}, sort_keys=True)
+    rows = [(i + 1, loss, held_loss, counts["rows_in"], n_used, n_held, counts["rows_in"] - n_used - n_held, params)
+            for i, (loss, held_loss) in enumerate(zip(losses, held_losses))]
+    log = tx.sparkSession.createDataFrame(
+        rows, "round int, train_loss double, validation_loss double, rows_in long, rows_used long, "
+              "rows_validation long, rows_skipped long, parameters string")
+    return Boosted(PipelineModel(stages=[*encoder.stages, model]), log)
 
 
 def training_log(model: PipelineModel, tx: DataFrame, target: str = "is_flagged") -> DataFrame:
@@ -75,14 +156,14 @@ def training_log(model: PipelineModel, tx: DataFrame, target: str = "is_flagged"
 
 
 def class_labels(model: PipelineModel) -> list[str]:
-    return list(model.stages[len(CATEGORICAL)].labels)
+    return list(model.stages[LABEL_STAGE].labels)
 
 
 def predict(model: PipelineModel, tx: DataFrame, target: str = "is_flagged") -> DataFrame:
     """Every input row and column plus ``predictions = {class, probability:
     {class: p}}``; no label is needed. A row without all numbers has NULL there."""
     labels = class_labels(model)
-    scorer = PipelineModel(stages=[s for k, s in enumerate(model.stages) if k != len(CATEGORICAL)])
+    scorer = PipelineModel(stages=[s for k, s in enumerate(model.stages) if k != LABEL_STAGE])
     out = scorer.transform(transaction_features(tx))
     whole = F.lit(True)
     for c in NUMERIC:
@@ -108,9 +189,8 @@ def feature_importance(spark, model: PipelineModel) -> DataFrame:
     """SHOW_FEATURE_IMPORTANCE, ranked (one row per feature: a model
     attribute, not data)."""
     rf = model.stages[-1]
-    names = NUMERIC + [f"{c}_idx" for c in CATEGORICAL]
     imp = rf.featureImportances.toArray().tolist()
-    rows = sorted(zip(names, imp), key=lambda r: -r[1])
+    rows = sorted(zip(FEATURES, imp), key=lambda r: -r[1])
     return spark.createDataFrame([(i + 1, n, float(v)) for i, (n, v) in enumerate(rows)],
                                  "rank int, feature string, importance double")
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from quarry.operators import ml
 from quarry.plans.oracle_views import view, with_views
 from quarry.plans.registry import query
+from quarry.session import scratch
+from quarry.sources import sinks
 
 
 def scored(cat) -> DataFrame:
@@ -134,6 +136,19 @@ def l01_train(cat):
         "num_trees int, total_nodes int, classes string")
 
 
+@query("l01_trained", with_views(
+    f"SELECT 20 AS num_trees, string_agg(DISTINCT CAST(is_flagged AS VARCHAR), ',' ORDER BY CAST(is_flagged AS VARCHAR)) "
+    f"AS classes, 10 AS num_features, true AS split FROM b_transactions WHERE NOT ({TEST_SQL})", "b_transactions"))
+def l01_trained(cat):
+    """What is fixed in the trained model: trees, classes, features, and that it splits."""
+    train, _ = holdout(cat)
+    model = ml.train(train)
+    rf = model.stages[-1]
+    return cat.spark.createDataFrame(
+        [(rf.getNumTrees, ",".join(ml.class_labels(model)), rf.numFeatures, rf.totalNumNodes > rf.getNumTrees)],
+        "num_trees int, classes string, num_features int, split boolean")
+
+
 @query("l02_predict")
 def l02_predict(cat):
     """Score the held-out rows; class and rounded probability per row."""
@@ -190,6 +205,62 @@ def l08_train_log(cat):
     return ml.training_log(ml.train(train), train)
 
 
+#: a seventh of the training ids stops the boosting; every 89th row has no amount and is skipped
+VALID_SQL = "CAST(transaction_id AS BIGINT) * 69621 % 2147483647 % 7 = 0"
+HOLE_SQL = "CAST(transaction_id AS BIGINT) % 89 = 0"
+
+
+def boosted(cat) -> ml.Boosted:
+    train, _ = holdout(cat)
+    return ml.train_boosted(train.withColumn("amount", F.when(~F.expr(HOLE_SQL), F.col("amount"))), F.expr(VALID_SQL))
+
+
+@query("l08_rounds")
+def l08_rounds(cat):
+    """The log of boosting rounds: losses, rows and parameters."""
+    return boosted(cat).log
+
+
+@query("l08_rounds_rows", with_views(f"""
+SELECT 1 AS first_round, true AS gapless, true AS learnt, count(*) AS rows_in,
+       count_if(NOT ({VALID_SQL}) AND NOT ({HOLE_SQL})) AS rows_used,
+       count_if({VALID_SQL} AND NOT ({HOLE_SQL})) AS rows_validation, count_if({HOLE_SQL}) AS rows_skipped,
+       20 AS max_rounds FROM b_transactions WHERE NOT ({TEST_SQL})""", "b_transactions"))
+def l08_rounds_rows(cat):
+    """What is fixed in that log: rows given, used, held and skipped, gapless
+    rounds within the parameter, a loss below that of the first round."""
+    log = boosted(cat).log
+    return log.groupBy("rows_in", "rows_used", "rows_validation", "rows_skipped",
+                       F.get_json_object("parameters", "$.max_rounds").cast("int").alias("max_rounds")).agg(
+        F.min("round").alias("first_round"),
+        ((F.max("round") == F.count("round")) & (F.max("round") <= 20)).alias("gapless"),
+        ((F.min("train_loss") <= F.min_by("train_loss", "round"))
+         & (F.min("validation_loss") <= F.min_by("validation_loss", "round"))).alias("learnt"))
+
+
+@query("l05_model", with_views(f"""
+SELECT count_if(is_flagged) AS p, count_if(NOT is_flagged) AS n, true AS better_than_chance,
+       true AS loss_below_prior FROM b_transactions WHERE {TEST_SQL}""", "b_transactions"))
+def l05_model(cat):
+    """AUC and log loss of the trained model on the held-out rows, against
+    chance and against the flat rate of those rows."""
+    train, test = holdout(cat)
+    pred = ml.predict(ml.train(train), test).select(
+        "is_flagged", F.col("predictions.probability")["true"].alias("score"),
+        (F.col("predictions.class") == "true").alias("prediction"))
+    kept = sinks.ctas(pred, scratch(cat.spark, "model-scores"))
+    a = ml.auc(kept, "is_flagged", "score").selectExpr(
+        "stack(3, 'p', CAST(p AS DOUBLE), 'n', CAST(n AS DOUBLE), 'auc', auc) AS (k, v)")
+    y, s = F.col("is_flagged").cast("double"), F.least(F.greatest("score", F.lit(1e-15)), F.lit(1 - 1e-15))
+    loss = kept.agg((-F.avg(y * F.log(s) + (1 - y) * F.log(1 - s))).alias("loss"), F.avg(y).alias("r")).selectExpr(
+        "stack(2, 'loss', loss, 'prior', -(r * ln(r) + (1 - r) * ln(1 - r))) AS (k, v)")
+    m = a.unionByName(loss)
+    g = m.groupBy().pivot("k", ["p", "n", "auc", "loss", "prior"]).agg(F.first("v"))
+    return g.select(F.col("p").cast("long").alias("p"), F.col("n").cast("long").alias("n"),
+                    (F.col("auc") > 0.6).alias("better_than_chance"),
+                    (F.col("loss") < F.col("prior")).alias("loss_below_prior"))
+
+
 @query("l09_text")
 def l09_text(cat):
     """Text classification of documents against their quality labels;
