@@ -8,8 +8,8 @@ product into its first coordinates. For a query with k-th best score t so far
 - a candidate is skipped if its partial sum plus the product of both residual
   lengths is below t (Cauchy-Schwarz),
 
-and what is left is scored exactly in integers. Queries meet candidates block
-by block: the query set is stated and each block pair is a row of its own.
+and what is left is scored exactly in integers. The query set is stated: groups of
+query blocks are joined to the candidate blocks that are long enough for them.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import require_columns, shuffle_parts, staged
 
 CANDIDATES, QUERIES, HEAD, CHUNK = 4096, 1024, 4096, 1024
+GROUP = 16  # query blocks that meet a candidate block in one place
 BLOCK = "block long, top double, ids binary, ints binary"
 _ARROW = pa.schema([("block", pa.int64()), ("top", pa.float64()), ("ids", pa.binary()), ("ints", pa.binary())])
 
@@ -205,17 +206,20 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
                    .mapInArrow(_blocks(dim, QUERIES), BLOCK)
                    .mapInArrow(_start(ids, ints, dim, rotation, first, k),
                                "block long, need double, ids binary, ints binary, bar binary"), "queries")
-    # a query block is copied to as many salts as there are tasks to share its candidates
-    salts = shuffle_parts(spark)
-    left = asked.select(F.col("block").alias("q"), "need", F.col("ids").alias("q_ids"), F.col("ints").alias("q_ints"),
-                        "bar", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    keys = asked.agg(F.collect_list(F.struct("block", "need")).alias("all"))  # one small pair per query block
-    pairs = (blocks.join(F.broadcast(keys)).select("*", F.explode("all").alias("_q")).drop("all")
-             .filter(F.col("top") >= F.col("_q.need"))
-             .select("top", "ids", "ints", F.col("_q.block").alias("q"),
-                     F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt")))
-    met = (pairs.join(left, ["q", "salt"]).select("q", "salt", "top", "q_ids", "q_ints", "bar", "ids", "ints")
-           .sortWithinPartitions("q", "salt", F.desc("top")))
+    # query blocks in groups: a candidate block moves once for each group that needs it, and a
+    # query block is copied to as many salts as there are tasks to share its candidates
+    salts, groups = shuffle_parts(spark), -(-n_q // (QUERIES * GROUP)) or 1
+    asked = asked.withColumn("g", F.pmod(F.shiftright("block", 32), F.lit(groups)).cast("int"))
+    least = asked.groupBy("g").agg(F.min("need").alias("least"))
+    wanted = (blocks.select("block", "top", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
+              .join(least, "g").filter(F.col("top") >= F.col("least")).select("block", "g"))
+    moved = blocks.join(wanted, "block").select(
+        "g", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"), "top", "ids", "ints")
+    left = asked.select("g", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.col("block").alias("q"),
+                        "need", F.col("ids").alias("q_ids"), F.col("ints").alias("q_ints"), "bar")
+    # merged, not broadcast: the planner's size of a side does not see its copies
+    met = (moved.join(left.hint("merge"), ["g", "salt"]).filter(F.col("top") >= F.col("need"))
+           .select("q", "top", "q_ids", "q_ints", "bar", "ids", "ints").sortWithinPartitions("q", F.desc("top")))
     found = met.mapInArrow(_search(dim, rotation, first, k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id")))
     return found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select(
