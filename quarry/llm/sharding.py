@@ -39,6 +39,13 @@ def _round(x: Column, key: int, n: int) -> Column:
     return F.pmod(F.xxhash64(x, F.lit(key).cast("long")), F.lit(n))
 
 
+def _step(k: int, key: int, a: int, b: int):
+    """Round ``k`` of the network, of one argument: transform() would pass a second one the index."""
+    if k % 2 == 0:
+        return lambda s: F.struct(F.pmod(s["l"] + _round(s["r"], key, a), F.lit(a)).alias("l"), s["r"].alias("r"))
+    return lambda s: F.struct(s["l"].alias("l"), F.pmod(s["r"] + _round(s["l"], key, b), F.lit(b)).alias("r"))
+
+
 def feistel(x: Column, n: int, seed: int) -> Column:
     """One pass of the network over [0, a*b); a bijection for every seed."""
     a, b = grid(n)
@@ -46,13 +53,7 @@ def feistel(x: Column, n: int, seed: int) -> Column:
     state = F.struct(left.alias("l"), right.alias("r"))
     for k in range(ROUNDS):
         # bind each round's state once: an array of one element and transform
-        if k % 2 == 0:
-            step = lambda s, k=k: F.struct(
-                F.pmod(s["l"] + _round(s["r"], seed * 1000 + k, a), F.lit(a)).alias("l"), s["r"].alias("r"))
-        else:
-            step = lambda s, k=k: F.struct(
-                s["l"].alias("l"), F.pmod(s["r"] + _round(s["l"], seed * 1000 + k, b), F.lit(b)).alias("r"))
-        state = F.transform(F.array(state), step)[0]
+        state = F.transform(F.array(state), _step(k, seed * 1000 + k, a, b))[0]
     done = F.transform(F.array(state), lambda s: s["l"] * F.lit(b) + s["r"])
     return done[0]
 

@@ -318,7 +318,8 @@ def test_mixing_keeps_exact_weights(docs, monkeypatch):
     weights = [1.0, 3e4, 0.37 * 1e5, 7.5]  # two are far under 1/4096
     exact = [Fraction(w) / sum(map(Fraction, weights)) for w in weights]
     done = [0] * 4
-    _, plan = mixing.slot_plan(weights, [2, 9_000, 50_000, 8])
+    _, size, plan = mixing.slot_plan(weights, [2, 9_000, 50_000, 8], 1)
+    assert size == 1
     for s, i, release, deadline, slot in plan:
         assert i == done[s] and abs(i / exact[s] - release) <= 1 and release <= slot < deadline
         assert abs(i - exact[s] * slot) < 1 + 1e-6  # within a block of the target weight
@@ -327,9 +328,22 @@ def test_mixing_keeps_exact_weights(docs, monkeypatch):
     given = dict(zip([None, "s0", "s1", "s2"], weights))
     whole = mixing.mix_sources(docs, given, block_bytes=256).collect()
     assert all(abs(r.weight - given[r.source] / sum(weights)) < 1e-9 for r in whole)
-    monkeypatch.setattr(mixing, "MAX_SLOTS", 16)  # the schedule repeats
-    again = mixing.mix_sources(docs, block_bytes=256).collect()
-    assert len(again) == len(whole) and all(r.release <= r.slot < r.deadline for r in whole + again)
+    monkeypatch.setattr(mixing, "MAX_BLOCKS", 16)  # blocks grow until the schedule is short
+    again = mixing.mix_sources(docs, given, block_bytes=1).collect()
+    total = sum(r.size for r in again)
+    assert {r.block_bytes for r in again} == {next(1 << k for k in range(40) if total >> k <= 16)}
+    assert len({(r.source, r.block) for r in again}) <= 16 + 4 and len(again) == len(whole)
+    for r in whole + again:  # within a block of the target weight, at every block size
+        assert r.release <= r.slot < r.deadline
+        assert abs(r.block - Fraction(given[r.source]) / sum(map(Fraction, weights)) * r.slot) < 1 + 1e-6
+
+
+def test_mixing_of_a_source_of_tiny_weight():
+    from quarry.llm import mixing
+    _, _, plan = mixing.slot_plan([1e-9, 1.0], [3, 1_000], 1)
+    assert len(plan) == 1_003  # no step for an empty slot
+    assert all(release <= slot < deadline for _, _, release, deadline, slot in plan)
+    assert len({x[4] for x in plan}) == len(plan)
 
 
 def test_sharding(docs, empty, rows):
