@@ -1,10 +1,11 @@
 """Semi-structured workload (W2): person documents in a VARIANT column,
 flatten, shred, provenance, marts; JSON paths and objects.
 
-Person documents are staged as JSON lines; each line is an array of at
-most 16 persons (customers of one nation with neighbouring keys), and
-each file holds at most 2,048 customers, so neither documents nor files
-grow with a hot key. Files are written sorted, which makes file names
+Person documents are staged as JSON lines; each line is an array of the
+customers of one nation in a span of 400 keys (about 16 persons), and a
+file holds one nation's documents of a span of 4,096 times that (about 10
+MB), so files are few and neither documents nor files grow with a hot
+nation beyond their span. Files are written sorted, which makes file names
 (the partition folder) and row numbers reproducible for the oracle.
 """
 
@@ -19,8 +20,8 @@ from quarry.plans.registry import query
 from quarry.session import scratch
 from quarry.sources import scan
 
-PERSONS_PER_DOC = 16
-CUSTOMERS_PER_FILE = 2048
+KEYS_PER_DOC = 400
+KEYS_PER_FILE = 4096 * KEYS_PER_DOC
 
 
 def stage_person_docs(cat, persons: DataFrame | None = None, path: str | None = None,
@@ -28,8 +29,8 @@ def stage_person_docs(cat, persons: DataFrame | None = None, path: str | None =
     p = cat.persons if persons is None else persons
     docs = (p.groupBy(
                 F.format_string("n%02d_b%d", F.col("c_nationkey"),
-                                F.floor(F.col("c_custkey") / CUSTOMERS_PER_FILE)).alias("file_key"),
-                F.floor(F.col("c_custkey") / PERSONS_PER_DOC).alias("doc_no"))
+                                F.floor(F.col("c_custkey") / KEYS_PER_FILE)).alias("file_key"),
+                F.floor(F.col("c_custkey") / KEYS_PER_DOC).alias("doc_no"))
             .agg(F.to_json(F.array_sort(F.collect_list(F.struct(
                 "id", "name", "age", "location", "zip", "member", "since", "balance")))).alias("value")))
     path = path or f"{scratch(cat.spark, 'person-stage')}/person"
@@ -57,11 +58,11 @@ def person_master(cat) -> DataFrame:
 
 # DuckDB restatement: the same documents as rows, with doc and row numbers.
 view("person_docs", ("persons",), f"""
-SELECT *, printf('n%02d_b%d', c_nationkey, c_custkey // {CUSTOMERS_PER_FILE}) AS file_key,
-       c_custkey // {PERSONS_PER_DOC} AS doc_no,
-       dense_rank() OVER (PARTITION BY c_nationkey, c_custkey // {CUSTOMERS_PER_FILE}
-                          ORDER BY c_custkey // {PERSONS_PER_DOC}) AS filerownumber,
-       row_number() OVER (PARTITION BY c_nationkey, c_custkey // {PERSONS_PER_DOC} ORDER BY id) - 1 AS pos
+SELECT *, printf('n%02d_b%d', c_nationkey, c_custkey // {KEYS_PER_FILE}) AS file_key,
+       c_custkey // {KEYS_PER_DOC} AS doc_no,
+       dense_rank() OVER (PARTITION BY c_nationkey, c_custkey // {KEYS_PER_FILE}
+                          ORDER BY c_custkey // {KEYS_PER_DOC}) AS filerownumber,
+       row_number() OVER (PARTITION BY c_nationkey, c_custkey // {KEYS_PER_DOC} ORDER BY id) - 1 AS pos
 FROM persons""")
 
 ZIP_SQL = "CASE WHEN zip = '' OR zip IS NULL THEN '00000' ELSE zip END"

@@ -54,7 +54,7 @@ class CsvPipe:
 
     def _batch(self, df: DataFrame, batch_id: int) -> None:
         df = df.cache()
-        good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file", "_file_time")
+        good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file", "_file_time", "_file_start")
         ingest.append_batch(good.withColumn("run_id", F.lit(self.run_id)), self.target, batch_id)
         ingest.append_batch(df.filter(F.col(CORRUPT).isNotNull()), self.rejects, batch_id)
         ingest.log_batch(df, self.log, batch_id, self.run_id)
@@ -129,7 +129,7 @@ def t01_ingest_json(cat):
     s = ingest.file_stream(cat.spark, f"{root}/landing", "json", SCHEMAS["list_table"])
 
     def batch(df, batch_id):
-        ingest.append_batch(df.drop("_file", "_file_time"), f"{root}/list_table", batch_id)
+        ingest.append_batch(df.drop("_file", "_file_time", "_file_start"), f"{root}/list_table", batch_id)
 
     ingest.run(s, batch, f"{root}/_checkpoint")
     return ingest.appended(cat.spark, f"{root}/list_table")
@@ -200,12 +200,13 @@ class PersonFlow:
     buckets of the batch's persons only; the marts keep the id beside their columns."""
 
     MASTER = ("id string, name string, age int, location string, zip string, filename string, "
-              "ingestedtimestamp timestamp_ntz")
+              "file_row_number long, ingestedtimestamp timestamp_ntz")
 
     def __init__(self, cat):
         self.cat, self.spark = cat, cat.spark
         root = scratch(cat.spark, "person-flow")
-        self.landing, self.checkpoint = f"{root}/landing", f"{root}/_checkpoint"
+        self.landing, self.checkpoint, self.log = f"{root}/landing", f"{root}/_checkpoint", f"{root}/log"
+        self.run_id = 0
         self.master = BucketedTable(cat.spark, f"{root}/person_master", "id", self.MASTER)
         self.age_mart = BucketedTable(cat.spark, f"{root}/person_age", "id", "id string, name string, age int")
         self.loc_mart = BucketedTable(cat.spark, f"{root}/person_location", "id",
@@ -215,13 +216,16 @@ class PersonFlow:
         w_person.stage_person_docs(self.cat, person_wave(self.cat, wave), self.landing, mode="append")
 
     def _batch(self, docs: DataFrame, batch_id: int) -> None:
-        order = F.struct(*[c for c in ("_file_time", "_file") if c in docs.columns], F.monotonically_increasing_id())
-        rows = nested.shred_persons(docs.withColumn("_order", order).withColumnRenamed("_file", "filename"), "person") \
-            .select("id", "name", "age", "location", "zip", "filename", "_order", "pos") \
+        tagged = docs.withColumns({scan.FILE: F.col("_file"), scan.BLOCK: F.col("_file_start"),
+                                   scan.ROW_ID: F.monotonically_increasing_id()})
+        numbered = scan.number_rows(tagged).withColumn("_order", F.struct("_file_time", "_file", "file_row_number"))
+        rows = nested.shred_persons(numbered.withColumnRenamed("_file", "filename"), "person") \
+            .select("id", "name", "age", "location", "zip", "filename", "file_row_number", "_order", "pos") \
             .withColumn("ingestedtimestamp", F.localtimestamp())
         # a backlog may hold a person twice: the later file, then the later document, wins
         own = [f.name for f in self.master.schema]
-        last = rows.groupBy(F.col("id")).agg(F.max_by(F.struct(*own), F.struct("_order", "pos")).alias("_p")).select("_p.*")
+        last = rows.groupBy(F.col("id")).agg(F.max_by(F.struct(*own), F.struct("_order", "pos")).alias("_p")) \
+            .select("_p.*").persist()
 
         def upsert(old, new):
             return cdc.upsert(old, new, "id", check_duplicates=False).table
@@ -230,12 +234,16 @@ class PersonFlow:
         self.master.commit(last, batch_id, upsert)
         self.age_mart.commit(last.select("id", "name", "age"), batch_id, upsert)
         self.loc_mart.commit(last.select("id", "name", "location"), batch_id, upsert)
+        ingest.log_batch(last, self.log, batch_id, self.run_id)
+        last.unpersist()
 
     def stream(self) -> DataFrame:
         return ingest.file_stream(self.spark, self.landing, "json", "person variant",
                                   {"singleVariantColumn": "person", "recursiveFileLookup": "true"})
 
     def refresh(self) -> None:
+        """One tick of the task: a batch only if files arrived since the last."""
+        self.run_id += 1
         ingest.run(self.stream(), self._batch, self.checkpoint)
 
 
@@ -244,6 +252,40 @@ PERSON_FINAL_SQL = ("SELECT id, name, CASE WHEN c_custkey % 3 = 0 THEN age + 1 E
                     "CASE WHEN zip = '' OR zip IS NULL THEN '00000' ELSE zip END AS zip FROM persons")
 
 
+#: the row in its file a person's last version came from: the second wave has files of its own
+PERSON_PLACE_SQL = ("SELECT id, file_key AS filename, CAST(CASE WHEN c_custkey % 3 = 0 THEN moved ELSE filerownumber END "
+                    "AS BIGINT) AS file_row_number FROM (SELECT *, dense_rank() OVER "
+                    "(PARTITION BY c_custkey % 3 = 0, file_key ORDER BY doc_no) AS moved FROM person_docs)")
+
+
+@query("t05_provenance", with_views(PERSON_PLACE_SQL, "person_docs"))
+def t05_provenance(cat):
+    """File and row in the file of every person in the master, after both waves."""
+    flow = PersonFlow(cat)
+    for w in (1, 2):
+        flow.land(w)
+        flow.refresh()
+    return flow.master.read().select("id", w_person.file_key().alias("filename"), "file_row_number")
+
+
+@query("t03_idle", with_views(
+    "SELECT * FROM (SELECT 1 AS tick, 1 AS batches, count(*) AS persons FROM persons UNION ALL SELECT 2, 0, 0 "
+    "UNION ALL SELECT 3, CAST(count(*) > 0 AS INT), count(*) FROM persons WHERE c_custkey % 3 = 0)", "persons"))
+def t03_idle(cat):
+    """Three ticks of the task, the second while its stream is empty: it runs no batch."""
+    flow = PersonFlow(cat)
+    flow.land(1)
+    flow.refresh()
+    flow.refresh()
+    flow.land(2)
+    flow.refresh()
+    log = ingest.run_log(cat.spark, flow.log).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("num_input_rows").alias("rows"))
+    ticks = cat.spark.range(1, flow.run_id + 1).select(F.col("id").cast("int").alias("tick"))
+    return ticks.join(log, ticks.tick == log.run_id, "left").select(
+        "tick", F.coalesce("n", F.lit(0)).cast("int").alias("batches"), F.coalesce("rows", F.lit(0)).alias("persons"))
+
+
 @query("t05_person_flow", with_views(PERSON_FINAL_SQL, "persons"))
 def t05_person_flow(cat):
     flow = PersonFlow(cat)
@@ -303,7 +345,7 @@ class BankingFlow:
     def _batch(self, df: DataFrame, batch_id: int) -> None:
         df = df.cache()
         ingest.append_batch(df.filter(F.col(CORRUPT).isNotNull()), self.rejects, batch_id)
-        good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file", "_file_time")
+        good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file", "_file_time", "_file_start")
         self.target.commit(good, batch_id, lambda old, new: cdc.apply_ordered(old, new, self.key).table)
         df.unpersist()
 

@@ -31,12 +31,14 @@ RUN_LOG = "run_id int, batch_id long, num_input_rows long, started string"
 def file_stream(spark: SparkSession, path: str, fmt: str, schema: StructType | str,
                 options: dict[str, str] | None = None) -> DataFrame:
     """A pipe's source: new files under ``path`` as a streaming frame,
-    with the file name of every row (METADATA$FILENAME)."""
+    with the file name of every row (METADATA$FILENAME), the file's time and the
+    start of the split the row came from (for row numbers, ``scan.number_rows``)."""
     r = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     df = r.load(path)
-    return df.withColumns({"_file": F.col("_metadata.file_path"), "_file_time": F.col("_metadata.file_modification_time")})
+    return df.withColumns({"_file": F.col("_metadata.file_path"), "_file_time": F.col("_metadata.file_modification_time"),
+                           "_file_start": F.col("_metadata.file_block_start")})
 
 
 def run(df: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,

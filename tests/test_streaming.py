@@ -53,7 +53,7 @@ def test_marts_follow_a_crash_after_the_master(spark, cat):
     flow = w_streaming.PersonFlow(cat)
     flow.land(1)
     docs = spark.read.option("singleVariantColumn", "person").option("recursiveFileLookup", "true") \
-        .json(flow.landing).withColumn("_file", F.lit("f"))
+        .json(flow.landing).withColumns({"_file": F.lit("f"), "_file_time": F.lit(1), "_file_start": F.lit(0)})
     whole = flow.loc_mart.commit
 
     def crash(*_):
@@ -186,7 +186,7 @@ def test_a_backlog_with_a_person_twice(spark, cat, tmp_path):
     docs = [('[{"id": "1", "name": "a", "age": 3}, {"id": "1", "name": "b", "age": 4}]', "f1", 1),
             ('[{"id": "1", "name": "c", "age": 5}]', "f0", 2), ('[{"id": "2", "name": "d", "age": 6}]', "f1", 1)]
     df = spark.createDataFrame(docs, "j string, _file string, _file_time int").select(
-        F.parse_json("j").alias("person"), "_file", "_file_time")
+        F.parse_json("j").alias("person"), "_file", "_file_time", F.lit(0).alias("_file_start"))
     flow._batch(df, 0)
     assert {(r.id, r.name, r.age) for r in flow.master.read().collect()} == {("1", "c", 5), ("2", "d", 6)}
     assert {(r.id, r.name) for r in flow.age_mart.read().collect()} == {("1", "c"), ("2", "d")}
