@@ -1,58 +1,41 @@
 """Fuzzy watchlist screening (J07): names within an edit distance of listed names.
 
-Comparing every party with every entity would be a cross join. Names that lie
-within distance d share all but at most q * d of their q-grams, so if grams
-are put in one global order, the first q * d + 1 grams of both names have one
-in common. These prefixes are the join keys; rare grams come first, so a key
-joins few names. A name with too few grams for that bound meets its
-partners through the strings that are left when up to d characters are deleted.
-Candidates are then checked by their exact distance. Equal names are screened once.
+Comparing every party with every entity would be a cross join. Two names within
+distance d become equal once up to d characters are deleted from each, so the
+strings that deletions leave (hashed) are the join keys. Such a string is a whole
+name but for d characters: it joins only names that lie within 2 d edits of each
+other, however common their words or letters are. Candidates are then checked by
+their exact distance, in the stage of the join. Equal names are screened once.
+
+A name of n characters has about n^d / d! keys; they are made one by one, never
+as a list of a row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.relational import normalise_name
 
-Q = 2  # characters of a gram
 
-
-def _grams(name: Column) -> Column:
-    """The q-grams of a name as (gram, how many times it came before)."""
-    size = F.length(name)
-    grams = F.when(size >= Q, F.transform(F.sequence(F.lit(1), size - Q + 1), lambda i: F.substr(name, i, F.lit(Q)))
-                   ).otherwise(F.array().cast("array<string>"))
-    return F.transform(grams, lambda g, i: F.struct(
-        g.alias("gram"), F.size(F.filter(F.slice(grams, F.lit(1), i), lambda x: x == g)).alias("nth")))
-
-
-def _deleted(name: Column, distance: int) -> Column:
-    """The name and what is left of it after up to ``distance`` deletions."""
-    def less(x: Column) -> Column:
-        return F.when(F.length(x) > 0, F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(
-            F.substr(x, F.lit(1), i - 1), F.substr(x, i + 1)))).otherwise(F.array().cast("array<string>"))
-    level, out = F.array(name), [F.array(name)]
+def _keys(names: DataFrame, distance: int) -> DataFrame:
+    """(name, key) of distinct names: a key of what is left for each choice of up to
+    ``distance`` deletions. Of equal neighbours only the first ones are deleted, and
+    cuts go from left to right, so a choice is made once."""
+    rest, at, cut = F.col("rest"), F.col("at"), F.col("cut")
+    rows = names.select("name", F.col("name").alias("rest"), F.lit(1).alias("at"))
+    starts = F.filter(F.sequence(at, F.length(rest)), lambda i: (i == at) | (
+        F.substr(rest, i, F.lit(1)) != F.substr(rest, i - 1, F.lit(1))))
+    # 0 ends the cuts; behind the last character no cut is left
+    cuts = F.when(at <= F.length(rest), F.concat(F.array(F.lit(0)), starts)).otherwise(F.array(F.lit(0)))
     for _ in range(distance):
-        level = F.array_distinct(F.flatten(F.transform(level, less)))
-        out.append(level)
-    return F.array_distinct(F.concat(*out))
-
-
-def _keys(names: DataFrame, order: DataFrame, distance: int) -> DataFrame:
-    """(name, key) of distinct names: prefix grams, and deletions of short names."""
-    grams = names.select("name", F.explode(_grams(F.col("name"))).alias("g")).select("name", "g.gram", "g.nth")
-    ranked = grams.join(order, "gram", "left").groupBy("name").agg(F.slice(F.sort_array(F.collect_list(F.struct(
-        F.coalesce("held", F.lit(0)).alias("held"), "gram", "nth"))), 1, Q * distance + 1).alias("first"))
-    prefix = ranked.select("name", F.explode(F.transform("first", lambda g: F.concat(
-        F.lit("g"), g["nth"].cast("string"), F.lit(":"), g["gram"]))).alias("key"))
-    # a name of at most this length may share no gram with a partner, which is at most d longer
-    short = Q * distance + Q - 1
-    rest = (names.filter(F.length("name") <= short + distance)
-            .select("name", F.explode(F.transform(_deleted(F.col("name"), distance),
-                                                  lambda s: F.concat(F.lit("d:"), s))).alias("key")))
-    return prefix.unionByName(rest)
+        rows = rows.select("name", "rest", "at", F.explode(cuts).alias("cut")).select(
+            "name",
+            F.when(cut == 0, rest).otherwise(F.concat(F.substr(rest, F.lit(1), cut - 1), F.substr(rest, cut + 1)))
+            .alias("rest"),
+            F.when(cut == 0, F.length(rest) + 1).otherwise(cut).alias("at"))
+    return rows.select("name", F.xxhash64("rest").alias("key"))
 
 
 def similar_names(left: DataFrame, right: DataFrame, distance: int) -> DataFrame:
@@ -61,14 +44,12 @@ def similar_names(left: DataFrame, right: DataFrame, distance: int) -> DataFrame
     if distance < 0:
         raise ValueError("distance must not be negative")
     a, b = (df.select("name").filter("name IS NOT NULL").distinct() for df in (left, right))
-    order = (b.select(F.explode(_grams(F.col("name"))["gram"]).alias("gram")).groupBy("gram")
-             .agg(F.count(F.lit(1)).alias("held")))
-    x = _keys(a, order, distance).withColumnRenamed("name", "name_a")
-    y = _keys(b, order, distance).withColumnRenamed("name", "name_b")
-    near = F.abs(F.length("name_a") - F.length("name_b")) <= distance
+    x = _keys(a, distance).withColumnRenamed("name", "name_a")
+    y = _keys(b, distance).withColumnRenamed("name", "name_b")
+    apart = F.levenshtein("name_a", "name_b", distance)  # -1 if more than distance
+    near = (F.abs(F.length("name_a") - F.length("name_b")) <= distance) & (apart >= 0)
     pairs = x.join(y, "key").filter(near).select("name_a", "name_b").distinct()
-    return (pairs.withColumn("distance", F.levenshtein("name_a", "name_b", distance))
-            .filter(F.col("distance") >= 0))
+    return pairs.withColumn("distance", apart)
 
 
 def parties(customers: DataFrame, transactions: DataFrame) -> DataFrame:

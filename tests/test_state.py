@@ -237,3 +237,14 @@ def test_similar_names_against_all_pairs(spark, distance):
     got = screening.similar_names(one(left), one(right), distance)
     assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_names_meet_by_what_they_share_not_by_frequent_grams(spark):
+    """Numbered names share all their grams: the keys of a name must not grow common with the names."""
+    from quarry.operators import screening
+    held = {}
+    for n in (1000, 8000):
+        names = spark.range(n).selectExpr("concat('customer ', lpad(cast(id * 7 as string), 9, '0')) AS name")
+        keys = screening._keys(names, 1).groupBy("key").count()
+        held[n] = keys.selectExpr("sum(count * count)").first()[0] / n
+    assert held[8000] < 2 * held[1000]
