@@ -4,7 +4,7 @@ Stages return the columns of ``documents`` (in their order, with all extra
 columns), mix its place column behind them, the last one the packed pieces. Rows with a NULL id are never
 dropped by the duplicate stages; of rows that repeat an id each is decided by
 its own text; NULL texts pass as empty; an empty table
-gives empty results.
+gives empty results. The session's Arrow batches are lowered to ``TEXTS`` rows.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import small, staged
+from quarry.llm.common import small, small_batches, staged
 from quarry.llm.exact_dup import exact_duplicates
 from quarry.llm.mixing import mix_sources
 from quarry.llm.near_dup import near_duplicates
@@ -24,6 +24,7 @@ from quarry.llm.toxicity import score_documents, train
 ALPHA = 0.5  # a source's target weight is its bytes to this power
 PLACE = "mix_position"  # column of a document's place in the mixed corpus
 ROW = "_row"  # id of a row while duplicates are decided
+TEXTS = 1024  # rows of an Arrow batch: whole texts, held by the JVM and by the worker
 SMALL_IDS = 1_000_000  # longer lists of ids join by a shuffle
 
 
@@ -54,6 +55,7 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents scored toxic (0.5 or more) by a model of the labelled rows."""
+    small_batches(spark, TEXTS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = train(docs, labels)
     return score_documents(docs, model, out="_toxicity").filter(F.col("_toxicity") < 0.5).drop("_toxicity")
@@ -90,6 +92,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 4,096 tokens, filled in the order of the mixed corpus: the slots
     of the mix decide which sources a sequence holds. Documents that were not
     mixed are packed in the corpus's own proportions."""
+    small_batches(spark, TEXTS)
     return pack(docs, tokenizer_path("word_bpe_49k.json"), False, end_id=2,
                 order=PLACE if PLACE in docs.columns else None)
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,7 @@ from quarry.session import scratch
 
 #: The white space the text contracts name: space and tab to carriage return.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
@@ -27,6 +32,25 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what is planned and run inside: a
+    batch of whole texts is held several times over, by the JVM and by the worker."""
+    held = spark.conf.get(BATCH_ROWS)
+    small_batches(spark, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, held)
+
+
+def small_batches(spark: SparkSession, rows: int) -> None:
+    """Lower the session's rows in an Arrow batch to ``rows``."""
+    held = int(spark.conf.get(BATCH_ROWS))
+    if held <= 0 or held > rows:
+        spark.conf.set(BATCH_ROWS, rows)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -69,6 +93,24 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
+#: what operators keep in a Python worker from task to task
+_KEPT: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """The dict that ``owner`` keeps in this Python worker. Workers outlive stages:
+    a task that asks for its own drops what other operators left."""
+    others = [o for o in _KEPT if o != owner]
+    for other in others:
+        del _KEPT[other]
+    if others:  # freed memory goes back to the system, or the worker keeps its peak
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    return _KEPT.setdefault(owner, {})
+
+
 def dump_json(value) -> str:
     return json.dumps(value, sort_keys=True)
 

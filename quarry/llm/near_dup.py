@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import require_columns, small, staged
+from quarry.llm.common import batches_of, require_columns, small, staged, worker_cache
 from quarry.llm.components import components
 
 K = 256  # retained values, 32 bits of each
@@ -41,6 +41,7 @@ BLOCK = 1536  # classes of a list or group compared at once
 BLOCK_CHARS = 1 << 23  # about so many characters of a group's texts make a block
 HEAD = 256  # pairs of a class checked in one go; more are dealt over several tasks
 
+SLICE = 1024  # rows of an Arrow batch, and of texts that are Python strings at a time
 COLUMNS = 4096  # values whose overlaps are counted by one matrix product
 _PAD = np.iinfo(np.int64).max
 
@@ -60,7 +61,8 @@ def _sketch(size: int):
     digest, h = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        worker_cache("near_dup")
+        for batch in _slices(batches):
             sizes, prints, kept = [], [], []
             for text in batch.column("text").to_pylist():
                 own = shingles(text, size)
@@ -103,8 +105,9 @@ def _alike(n_a: Column, s_a: Column, n_b: Column, s_b: Column, percent: int) ->
 def _verify(size: int, percent: int):
     """Keep the pairs whose full sets reach the threshold; rows of a class follow each other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("near_dup")
         held, own = None, set()
-        for batch in batches:
+        for batch in _slices(batches):
             keep = []
             for x, y in zip(*[batch.column(c).to_pylist() for c in ("text_a", "text_b")]):
                 if x != held:
@@ -201,8 +204,9 @@ def _across(rows: list[tuple], comp: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _by_block(decide):
     """Rows sorted by (key, i, j): call ``decide`` on the rows of each; it returns links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("near_dup")
         held: list[tuple] = []
-        for batch in _with_end(batches):
+        for batch in _with_end(_slices(batches)):
             a, b = [], []
             for r in _rows(batch) if batch is not None else [(None,) * 3]:
                 if held and r[:3] != held[0][:3]:
@@ -308,6 +312,13 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
     return zip(*[c.to_pylist() for c in plain], (flat[x:y].astype(np.int64) for x, y in zip(ends, ends[1:])))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``SLICE`` rows."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, SLICE):
+            yield batch.slice(k, SLICE)
+
+
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
     yield from batches
     yield None
@@ -326,7 +337,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     if not 80 <= percent <= 100:
         raise ValueError(f"percent must be 80 to 100, not {percent}")
     require_columns(docs, "doc_id", "text")
-    docs = docs.select("doc_id", "text")
+    with batches_of(docs.sparkSession, SLICE):
+        return _near_duplicates(docs.select("doc_id", "text"), size, percent)
+
+
+def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     rows = staged(docs.mapInArrow(_sketch(size), "doc_id long, n long, digest binary, sketch array<int>"), "sketches")
     classes = staged(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest", "n").agg(
         F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")), "classes")

@@ -15,6 +15,8 @@ from collections.abc import Iterable
 
 import numpy as np
 
+from quarry.llm.common import worker_cache
+
 CACHE_WORDS = 400_000  # pieces of a generation; a worker keeps the last two
 
 #: byte-level: a piece is a word with its leading space, or one line end.
@@ -153,12 +155,10 @@ class Encoder:
         return b"".join(map(self.cache.__getitem__, words))
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, byte_level: bool) -> Encoder:
     """One encoder per Python worker process; workers are reused across tasks."""
+    kept = worker_cache("tokens")
     key = (path, byte_level)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, byte_level)
-    return _ENCODERS[key]
+    if key not in kept:
+        kept[key] = Encoder(path, byte_level)
+    return kept[key]

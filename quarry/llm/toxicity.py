@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import require_columns
+from quarry.llm.common import require_columns, worker_cache
 
 BITS = 20
 STEM = 4
@@ -104,6 +104,7 @@ class Model:
 
         @F.pandas_udf("double")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            worker_cache("toxicity")
             dense = np.zeros(1 << BITS, dtype=np.float32)
             dense[slot] = weight
             try:
@@ -125,6 +126,7 @@ def _sum(dense: np.ndarray, text: str | None) -> float:
 
 def _learn_shard(prior: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        worker_cache("toxicity")
         rows = rows.sort_values(["_h", "doc_id"])
         model = Ftrl(prior)
         seen = [features(t) for t in rows["text"]]
@@ -134,6 +136,8 @@ def _learn_shard(prior: float):
                 model.learn(at, int(y))
         w = model.weights()
         at = np.flatnonzero(w)
+        _HASHES.clear()
+        _STEMS.clear()
         return pd.DataFrame({"slot": at, "weight": w[at]})
     return run
 

@@ -79,3 +79,34 @@ def test_every_text_of_a_repeated_id_counts(spark):
     near[30] = "other"
     rows = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join(near)), (3, " ".join(one)), (4, "alone")]
     assert found(spark, rows, 2) == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_a_worker_keeps_only_what_its_operator_uses():
+    from quarry.llm import common, near_dup, tokens
+    import pyarrow as pa
+    enc = tokens.encoder(tokens.tokenizer_path("word_bpe_49k.json"), False)
+    assert tokens.encoder(tokens.tokenizer_path("word_bpe_49k.json"), False) is enc
+    texts = [f"some words of text {k} " * 3 for k in range(3 * near_dup.SLICE + 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    got = list(near_dup._sketch(2)(iter([batch])))
+    assert max(b.num_rows for b in got) <= near_dup.SLICE
+    assert [i for b in got for i in b.column("doc_id").to_pylist()] == list(range(len(texts)))
+    assert common._KEPT == {"near_dup": {}}
+
+
+def test_list_columns_of_a_slice_keep_their_rows():
+    from quarry.llm import near_dup
+    import pyarrow as pa
+    n = 2 * near_dup.SLICE + 7
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([[k, k + 1] for k in range(n)])],
+                                       names=["rep", "sketch"])
+    rows = [r for b in near_dup._slices(iter([batch])) for r in near_dup._rows(b)]
+    assert [(a, s.tolist()) for a, s in rows] == [(k, [k, k + 1]) for k in range(n)]
+
+
+def test_hashes_of_words_do_not_outlive_training():
+    import pandas as pd
+    from quarry.llm import toxicity
+    rows = pd.DataFrame({"_h": [1, 2], "doc_id": [1, 2], "text": ["one two three", "four five"], "label": [0, 1]})
+    toxicity._learn_shard(0.0)(rows)
+    assert not toxicity._HASHES and not toxicity._STEMS
