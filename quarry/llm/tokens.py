@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
 
 import numpy as np
 
@@ -25,16 +24,23 @@ _BYTE_PIECE = re.compile(r"\n| ?[^ \n]+")
 _BYTE_ODD = re.compile(r"[^\S \n]|\s\s| \Z|<\|")
 #: punctuation behind a Latin letter or digit starts a piece in both vocabularies
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_MARKS = frozenset(_PUNCTUATION)
 #: a full stop or comma that ends a run of punctuation, which is one piece
 #: (a dotted capital I ends in a mark once it is lower case)
 _GLUED = re.compile("[.,](?<=[^\\w\\s].|[_\u0130].)\\s")
+#: a full stop or comma that may belong to a piece with what is before it
+_BYTE_GLUED = re.compile("[.,](?<![0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff].)[ \\n]")
 
 
 def _byte_pieces(text: str) -> list[str]:
-    """What ``_BYTE_PIECE`` finds, and empty pieces beside outer white space."""
+    """What ``_BYTE_PIECE`` finds, and empty pieces beside outer white space; a stop
+    or comma between a Latin letter or digit and white space is a piece."""
     if "\0" in text:
         return _BYTE_PIECE.findall(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    cut = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+    if not _BYTE_GLUED.search(text):
+        cut = cut.replace(",\0", "\0,\0").replace(".\0", "\0.\0")
+    return cut.split("\0")
 
 
 def _byte_odd(text: str) -> bool:
@@ -105,18 +111,19 @@ class Encoder:
     def _joinable(self, word: str) -> bool:
         return word[:1] == " " if self.byte_level else word.isalpha()
 
-    def _learn(self, words: Iterable[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         """Put all ``words`` into the cache; a word with punctuation behind it
         is made of the word and the punctuation."""
         cache, old = self.cache, self.old
-        new, glued = [], []
-        for w in words:
-            if w in old:
-                cache[w] = old[w]
-                continue
+        known = [w for w in words if w in old]
+        cache.update(zip(known, map(old.__getitem__, known)))
+        words = words.difference(known)
+        marked = [w for w in words if w[-1:] in _MARKS]
+        new, glued = words.difference(marked), []
+        for w in marked:
             stem = w.rstrip(_PUNCTUATION)
-            if len(stem) == len(w) or not stem or stem[-1] > "\u00ff" or not stem[-1].isalnum():
-                new.append(w)
+            if not stem or stem[-1] > "\u00ff" or not stem[-1].isalnum():
+                new.add(w)
                 continue
             end = w[len(stem):]
             glued.append((w, stem, end))
@@ -125,13 +132,12 @@ class Encoder:
                     if x in old:
                         cache[x] = old[x]
                     else:
-                        new.append(x)
-        new = list(dict.fromkeys(new))
+                        new.add(x)
         joined = [w for w in new if self._joinable(w)]
         for i in range(0, len(joined), 4096):
             some = joined[i:i + 4096]
             cache.update(zip(some, self._encode_joined(some)))
-        plain = [w for w in new if w not in cache]
+        plain = list(new.difference(joined))
         for i in range(0, len(plain), 4096):
             some = plain[i:i + 4096]
             for w, e in zip(some, self.model.encode_batch_fast(some, add_special_tokens=False)):

@@ -110,3 +110,11 @@ def test_hashes_of_words_do_not_outlive_training():
     rows = pd.DataFrame({"_h": [1, 2], "doc_id": [1, 2], "text": ["one two three", "four five"], "label": [0, 1]})
     toxicity._learn_shard(0.0)(rows)
     assert not toxicity._HASHES and not toxicity._STEMS
+
+
+def test_stops_and_commas_are_pieces_of_their_own_in_the_byte_vocabulary():
+    from quarry.llm import tokens
+    enc = tokens.Encoder(tokens.tokenizer_path("byte_bpe_50k.json"), True)
+    assert enc.pieces("one, two. é3,\nx") == ["one", ",", " two", ".", " é3", ",", "\n", "x"]
+    for text in ("one, two. three", "a , b", "a., b", ", a", "don't, it's. x", "हि, x. y", "x², y", "a_, b", "é, ß.\nñ", "&&&, a"):
+        assert enc.encode(text) == enc._pack(enc.model.encode(text, add_special_tokens=False).ids), text
