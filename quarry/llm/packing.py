@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,15 +132,19 @@ def _tokenise(path: str, byte_level: bool, end_id: int):
         end, wide = enc._pack([end_id]), enc.kind.itemsize
         part, so_far = TaskContext.get().partitionId(), {}
         for batch in batches:
-            ids = [enc.encode(t) + end for t in batch.column("text").to_pylist()]
-            starts = []
-            for s, x in zip(batch.column("source").to_pylist(), ids):
-                starts.append(so_far.get(s, 0))
-                so_far[s] = starts[-1] + len(x) // wide
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(ids), pa.int32()), batch.column("doc_id"), batch.column("source"),
-                 pa.array(starts, pa.int64()), pa.array([len(x) // wide for x in ids], pa.int64()),
-                 pa.array(ids, pa.binary())], names=["part", "doc_id", "source", "start", "n", "ids"])
+            at = 0
+            for ids in enc.encode_batch(batch.column("text"), end):
+                some = batch.slice(at, len(ids))
+                sizes = pc.binary_length(ids).to_numpy().astype(np.int64) // wide
+                starts = []
+                for s, n in zip(some.column("source").to_pylist(), sizes.tolist()):
+                    starts.append(so_far.get(s, 0))
+                    so_far[s] = starts[-1] + n
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), part, dtype=np.int32)), some.column("doc_id"), some.column("source"),
+                     pa.array(starts, pa.int64()), pa.array(sizes), ids],
+                    names=["part", "doc_id", "source", "start", "n", "ids"])
+                at += len(ids)
     return run
 
 

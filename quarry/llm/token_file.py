@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,14 +42,16 @@ def _tokenise(path: str, byte_level: bool, end_id: int):
         end, wide = enc._pack([end_id]), enc.kind.itemsize
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [enc.encode(t) + end for t in batch.column("text").to_pylist()]
-            sizes = np.array([len(x) // wide for x in ids], dtype=np.int64)
-            starts = start + np.cumsum(sizes) - sizes
-            start += int(sizes.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(ids), pa.int32()), batch.column("doc_id"), pa.array(starts),
-                 pa.array(sizes.astype(np.int32)), pa.array(ids, pa.binary())],
-                names=["part", "doc_id", "start", "n", "ids"])
+            at = 0
+            for ids in enc.encode_batch(batch.column("text"), end):
+                sizes = pc.binary_length(ids).to_numpy().astype(np.int64) // wide
+                starts = start + np.cumsum(sizes) - sizes
+                start += int(sizes.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), part, dtype=np.int32)), batch.column("doc_id").slice(at, len(ids)),
+                     pa.array(starts), pa.array(sizes.astype(np.int32)), ids],
+                    names=["part", "doc_id", "start", "n", "ids"])
+                at += len(ids)
     return run
 
 

@@ -118,3 +118,31 @@ def test_stops_and_commas_are_pieces_of_their_own_in_the_byte_vocabulary():
     assert enc.pieces("one, two. é3,\nx") == ["one", ",", " two", ".", " é3", ",", "\n", "x"]
     for text in ("one, two. three", "a , b", "a., b", ", a", "don't, it's. x", "हि, x. y", "x², y", "a_, b", "é, ß.\nñ", "&&&, a"):
         assert enc.encode(text) == enc._pack(enc.model.encode(text, add_special_tokens=False).ids), text
+
+
+@pytest.mark.parametrize("name, byte_level", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_batch_is_cut_by_arrow_and_python_sees_its_distinct_pieces(monkeypatch, name, byte_level):
+    import pyarrow as pa
+    from quarry.llm import tokens
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 500)
+    enc = tokens.Encoder(tokens.tokenizer_path(name), byte_level)
+    end = enc._pack([7])
+    marks = [" ", " ", " ", "\n", ". ", ", ", ".", ",", "!", "'", "'s", "##", "a", "B", "É", "ß", "Σ", "İ",
+             "1", "²", "ª", "x", "<|", "_", "…", "\xa0", "\x85", "́", "中", "\x1c", "\0", "İ. "]
+    rng = random.Random(4)
+    texts = [None, "", "<|endoftext|>", *["".join(rng.choices(marks, k=rng.randint(1, 12))) for _ in range(20_000)],
+             *[f"{a}{chr(c)}{b}" for c in range(0x3100) for a, b in (("x", "y"), ("x ", ". y"))], None]
+    want = [enc._pack(e.ids) + end for e in enc.model.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+    for size in (100, 1 << 20):  # texts longer than a batch too
+        monkeypatch.setattr(tokens, "BATCH_BYTES", size if size > 100 else 6)
+        some = len(texts) if size > 100 else 2000
+        got = [x for part in enc.encode_batch(pa.array(["z", *texts], pa.string()).slice(1, some), end)
+               for x in part.to_pylist()]
+        assert got == want[:some]
+    assert [enc.encode(t) + end for t in texts] == want
+    asked = []
+    known = enc._know
+    monkeypatch.setattr(enc, "_know", lambda words: (asked.extend(words), known(words)))
+    out = [x for part in enc.encode_batch(pa.array(["one two. one two"] * 1000), end) for x in part.to_pylist()]
+    assert len(out) == 1000 and len(asked) == len(set(asked)) < 8
+    assert [*enc.encode_batch(pa.array([], pa.string()), end)] == []
