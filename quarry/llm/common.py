@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
@@ -103,14 +103,31 @@ def worker_cache(owner: str) -> dict:
     others = [o for o in _KEPT if o != owner]
     for other in others:
         del _KEPT[other]
-    if others:  # freed memory goes back to the system, or the worker keeps its peak
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+    if others:
+        return_memory()
     return _KEPT.setdefault(owner, {})
 
 
+def return_memory() -> None:
+    """Freed memory of this Python worker goes back to the system, or it keeps its peak."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def task_of(owner: str, run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` as a task of ``owner``: it begins without other operators' caches and
+    ends by returning freed memory, as the worker waits beside the JVM and later stages."""
+    def task(batches: Iterator) -> Iterator:
+        worker_cache(owner)
+        try:
+            yield from run(batches)
+        finally:
+            return_memory()
+    return task
+
+
 def dump_json(value) -> str:
     return json.dumps(value, sort_keys=True)
 

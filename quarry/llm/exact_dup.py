@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ASCII_SPACE, require_columns, staged
+from quarry.llm.common import ASCII_SPACE, require_columns, staged, task_of
 
 COUNTERS = 1024
 
@@ -41,7 +41,7 @@ def misra_gries(counters: int, column: str):
 def frequent(df: DataFrame, column: str, counters: int = COUNTERS) -> DataFrame:
     """At most ``counters`` values, all with over 2 / (counters + 1) of the rows
     among them: summed summaries are short by at most 1 / (counters + 1)."""
-    parts = df.select(column).mapInArrow(misra_gries(counters, column), f"{column} binary, n long")
+    parts = df.select(column).mapInArrow(task_of("exact_dup", misra_gries(counters, column)), f"{column} binary, n long")
     return parts.groupBy(column).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), column).limit(counters).select(column)
 
 

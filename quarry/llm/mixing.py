@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import before, bounded_rows, by_range, require_columns, small, staged
+from quarry.llm.common import before, bounded_rows, by_range, require_columns, small, staged, task_of
 from quarry.llm.sharding import row_numbers
 
 CYCLE = 4096  # the most sources; more raise an error
@@ -108,7 +108,7 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, alpha: float = 0.5
     slim = docs.select("doc_id", "source", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long")
                        .alias("size"))
     rows = staged(by_range(slim, "doc_id").mapInArrow(
-        _running, "part int, doc_id long, source string, size long, start long"), "mix")
+        task_of("mix", _running), "part int, doc_id long, source string, size long, start long"), "mix")
     totals = {r["source"]: r["n"] for r in bounded_rows(
         rows.groupBy("source").agg(F.sum("size").alias("n")), CYCLE, "the list of sources")}
     names = sorted(totals, key=lambda s: (s is not None, s))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import batches_of, require_columns, small, staged, worker_cache
+from quarry.llm.common import batches_of, require_columns, small, staged, task_of
 from quarry.llm.components import components
 
 K = 256  # retained values, 32 bits of each
@@ -61,7 +61,6 @@ def _sketch(size: int):
     digest, h = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_cache("near_dup")
         for batch in _slices(batches):
             sizes, prints, kept = [], [], []
             for text in batch.column("text").to_pylist():
@@ -105,7 +104,6 @@ def _alike(n_a: Column, s_a: Column, n_b: Column, s_b: Column, percent: int) ->
 def _verify(size: int, percent: int):
     """Keep the pairs whose full sets reach the threshold; rows of a class follow each other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_cache("near_dup")
         held, own = None, set()
         for batch in _slices(batches):
             keep = []
@@ -148,8 +146,8 @@ def _links(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     second = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     first = _salted(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), pairs)
     both = second.join(first, ["a", "_salt"])
-    return staged(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(size, percent), "a long, b long")
-                  .distinct(), "links")
+    return staged(both.select("a", "b", "text_a", "text_b")
+                  .mapInArrow(task_of("near_dup", _verify(size, percent)), "a long, b long").distinct(), "links")
 
 
 def _shared(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
@@ -204,7 +202,6 @@ def _across(rows: list[tuple], comp: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _by_block(decide):
     """Rows sorted by (key, i, j): call ``decide`` on the rows of each; it returns links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_cache("near_dup")
         held: list[tuple] = []
         for batch in _with_end(_slices(batches)):
             a, b = [], []
@@ -342,7 +339,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    rows = staged(docs.mapInArrow(_sketch(size), "doc_id long, n long, digest binary, sketch array<int>"), "sketches")
+    rows = staged(docs.mapInArrow(task_of("near_dup", _sketch(size)),
+                                  "doc_id long, n long, digest binary, sketch array<int>"), "sketches")
     classes = staged(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest", "n").agg(
         F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")), "classes")
 
@@ -369,15 +367,15 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     placed = staged(lists.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", comp), "placed")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y")
     members = placed.join(mixed.select("key"), "key").join(classes.select("rep", "n", "sketch"), "rep")
-    hung = staged(_in_blocks(members, F.lit(0), "n", "sketch").mapInArrow(_estimate_block(percent), "a long, b long")
-                  .distinct(), "hung")
+    hung = staged(_in_blocks(members, F.lit(0), "n", "sketch")
+                  .mapInArrow(task_of("near_dup", _estimate_block(percent)), "a long, b long").distinct(), "hung")
     if not hung.isEmpty():
         together = staged(components(hung).select(F.col("id").alias("rep"), F.col("component").alias("key")), "groups")
         texts = _texts(docs, together.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
         members = (together.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", comp)
                    .join(texts, "rep"))
         more = staged(_in_blocks(staged(members, "members"), F.length("text"), "text")
-                      .mapInArrow(_verify_block(size, percent), "a long, b long"), "links")
+                      .mapInArrow(task_of("near_dup", _verify_block(size, percent)), "a long, b long"), "links")
         groups = staged(components(links.select("a", "b").union(more)), "components")
 
     found = (classes.join(groups.withColumnRenamed("id", "rep"), "rep", "left")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import before, bounded_rows, by_range, require_columns, small, staged
+from quarry.llm.common import before, bounded_rows, by_range, require_columns, small, staged, task_of
 from quarry.llm.tokens import encoder
 
 MAX_SOURCES = 10_000  # queues; more raise an error
@@ -187,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, byte_level: bool = False, end_id: int
               if order else by_range(docs.select("doc_id", "source", "text"), "doc_id"))
     tokens = staged(
         queues
-        .mapInArrow(_tokenise(tokenizer, byte_level, end_id),
+        .mapInArrow(task_of("tokens", _tokenise(tokenizer, byte_level, end_id)),
                     "part int, doc_id long, source string, start long, n long, ids binary"), "queues")
     base = before(tokens.groupBy("part", "source").agg(F.sum("n").alias("_n")), "part", "_n", "_base", "source")
     totals = {r["source"]: r["n"] for r in bounded_rows(
@@ -198,4 +198,4 @@ def pack(docs: DataFrame, tokenizer: str, byte_level: bool = False, end_id: int
     b = small(base.select(F.col("part").alias("_p"), F.col("source").alias("_s"), "_base"))
     placed = (tokens.join(b, (F.col("part") == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s")))
               .select("doc_id", "source", (F.col("start") + F.col("_base")).alias("at"), "n", "ids"))
-    return placed.mapInArrow(_cut(rounds, {s: k for k, s in enumerate(names)}, kind), PIECES)
+    return placed.mapInArrow(task_of("cut", _cut(rounds, {s: k for k, s in enumerate(names)}, kind)), PIECES)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import before, by_range, require_columns, small, staged
+from quarry.llm.common import before, by_range, require_columns, small, staged, task_of
 from quarry.llm.huffman import Coder, code_lengths
 from quarry.llm.tokens import encoder
 
@@ -106,11 +106,12 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, byte_level: boo
     require_columns(docs, "doc_id", "text")
     tokens = staged(
         by_range(docs.select("doc_id", "text"), "doc_id")
-        .mapInArrow(_tokenise(tokenizer, byte_level, end_id), "part int, doc_id long, start long, n int, ids binary"),
+        .mapInArrow(task_of("tokens", _tokenise(tokenizer, byte_level, end_id)),
+                    "part int, doc_id long, start long, n int, ids binary"),
         "ids")
     kind = encoder(tokenizer, byte_level).kind.str
     # one row per id of the vocabulary at most
-    counts = (tokens.select("ids").mapInArrow(_histogram(kind), "symbol int, n long")
+    counts = (tokens.select("ids").mapInArrow(task_of("token_file", _histogram(kind)), "symbol int, n long")
               .groupBy("symbol").agg(F.sum("n").alias("n")).toArrow())
     total = np.zeros(max(counts["symbol"].to_pylist(), default=0) + 1, dtype=np.int64)
     total[counts["symbol"].to_numpy()] = counts["n"].to_numpy()
@@ -119,7 +120,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, byte_level: boo
     book = pa.table({"symbol": pa.array(np.arange(len(lengths)), pa.int32()),
                      "length": pa.array(lengths.astype(np.int32))})
     spark.createDataFrame(book).coalesce(1).write.mode("overwrite").parquet(f"{path}/codebook")
-    (tokens.mapInArrow(_encode_blocks(lengths.tobytes(), kind), BLOCKS)
+    (tokens.mapInArrow(task_of("token_file", _encode_blocks(lengths.tobytes(), kind)), BLOCKS)
      .write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/blocks"))
 
 
@@ -152,6 +153,7 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     lengths = book["length"].to_numpy().astype(np.uint8).tobytes()
     blocks = spark.read.parquet(f"{path}/blocks")
     base = before(blocks.groupBy("part").agg(F.sum("n_ids").alias("_n")), "part", "_n", "_base")
-    docs = blocks.mapInArrow(_decode_blocks(lengths), "part int, doc_id long, start long, n_tokens long, ids binary")
+    docs = blocks.mapInArrow(task_of("token_file", _decode_blocks(lengths)),
+                             "part int, doc_id long, start long, n_tokens long, ids binary")
     return (docs.join(small(base.select("part", "_base")), "part")
             .select("doc_id", (F.col("start") + F.col("_base")).alias("start"), "n_tokens", "ids"))

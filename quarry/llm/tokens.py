@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from quarry.llm.common import worker_cache
 
 CACHE_WORDS = 400_000  # pieces of a generation; a worker keeps the last two
-BATCH_BYTES = 16 << 20  # text that is cut at once; longer texts are encoded one by one
+BATCH_BYTES = 4 << 20  # text that is cut at once; longer texts are encoded one by one
 
 #: byte-level: a piece is a word with its leading space, or one line end.
 _BYTE_PIECE = re.compile(r"\n| ?[^ \n]+")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import require_columns, worker_cache
+from quarry.llm.common import require_columns, return_memory, worker_cache
 
 BITS = 20
 STEM = 4
@@ -113,6 +113,7 @@ class Model:
             finally:  # a worker lives on in later stages, which need the memory
                 _HASHES.clear()
                 _STEMS.clear()
+                return_memory()
         return score
 
 
@@ -138,6 +139,7 @@ def _learn_shard(prior: float):
         at = np.flatnonzero(w)
         _HASHES.clear()
         _STEMS.clear()
+        return_memory()
         return pd.DataFrame({"slot": at, "weight": w[at]})
     return run
 

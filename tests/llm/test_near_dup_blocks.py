@@ -146,3 +146,33 @@ def test_a_batch_is_cut_by_arrow_and_python_sees_its_distinct_pieces(monkeypatch
     out = [x for part in enc.encode_batch(pa.array(["one two. one two"] * 1000), end) for x in part.to_pylist()]
     assert len(out) == 1000 and len(asked) == len(set(asked)) < 8
     assert [*enc.encode_batch(pa.array([], pa.string()), end)] == []
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_a_task_drops_other_caches_and_returns_memory_at_its_end(monkeypatch, fails):
+    from quarry.llm import common
+    monkeypatch.setattr(common, "_KEPT", {"tokens": {1: "many words"}, "mix": {2: "own"}})
+    returned = []
+    monkeypatch.setattr(common, "return_memory", lambda: returned.append(dict(common._KEPT)))
+
+    def run(batches):
+        for b in batches:
+            if fails and b == 3:
+                raise KeyError(b)
+            yield 2 * b
+    rows = common.task_of("mix", run)(iter([1, 2, 3]))
+    assert next(rows) == 2 and returned == [{"mix": {2: "own"}}]
+    if fails:
+        with pytest.raises(KeyError):
+            list(rows)
+    else:
+        assert list(rows) == [4, 6]
+    assert len(returned) == 2 and common._KEPT == {"mix": {2: "own"}}
+
+
+def test_every_python_step_of_the_pipeline_returns_its_memory():
+    import inspect
+    from quarry.llm import exact_dup, mixing, near_dup, packing, token_file
+    for module in (exact_dup, mixing, near_dup, packing, token_file):
+        text = "".join(inspect.getsource(module).split())
+        assert text.count("mapInArrow(") == text.count("mapInArrow(task_of(") > 0, module
