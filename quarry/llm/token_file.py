@@ -9,7 +9,8 @@ so it works in any store and survives lost executors:
   each: part, start (ids before it in the part), the documents' ids and
   lengths, the bit offset of every ``CHECKPOINT``-th id, and the bits.
 
-A block decodes alone, and inside it each run between checkpoints does.
+A block decodes alone, and inside it each run between checkpoints does. All steps
+keep the words a worker has learnt for the next corpus.
 """
 
 from __future__ import annotations
@@ -111,7 +112,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, byte_level: boo
         "ids")
     kind = encoder(tokenizer, byte_level).kind.str
     # one row per id of the vocabulary at most
-    counts = (tokens.select("ids").mapInArrow(task_of("token_file", _histogram(kind)), "symbol int, n long")
+    counts = (tokens.select("ids").mapInArrow(task_of("tokens", _histogram(kind)), "symbol int, n long")
               .groupBy("symbol").agg(F.sum("n").alias("n")).toArrow())
     total = np.zeros(max(counts["symbol"].to_pylist(), default=0) + 1, dtype=np.int64)
     total[counts["symbol"].to_numpy()] = counts["n"].to_numpy()
@@ -120,7 +121,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, byte_level: boo
     book = pa.table({"symbol": pa.array(np.arange(len(lengths)), pa.int32()),
                      "length": pa.array(lengths.astype(np.int32))})
     spark.createDataFrame(book).coalesce(1).write.mode("overwrite").parquet(f"{path}/codebook")
-    (tokens.mapInArrow(task_of("token_file", _encode_blocks(lengths.tobytes(), kind)), BLOCKS)
+    (tokens.mapInArrow(task_of("tokens", _encode_blocks(lengths.tobytes(), kind)), BLOCKS)
      .write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/blocks"))
 
 
@@ -153,7 +154,7 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     lengths = book["length"].to_numpy().astype(np.uint8).tobytes()
     blocks = spark.read.parquet(f"{path}/blocks")
     base = before(blocks.groupBy("part").agg(F.sum("n_ids").alias("_n")), "part", "_n", "_base")
-    docs = blocks.mapInArrow(task_of("token_file", _decode_blocks(lengths)),
+    docs = blocks.mapInArrow(task_of("tokens", _decode_blocks(lengths)),
                              "part int, doc_id long, start long, n_tokens long, ids binary")
     return (docs.join(small(base.select("part", "_base")), "part")
             .select("doc_id", (F.col("start") + F.col("_base")).alias("start"), "n_tokens", "ids"))
