@@ -76,7 +76,7 @@ def _sketch(size: int):
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                 names=["doc_id", "n", "digest", "sketch"])
-    return run
+    return task_of("near_dup", run)
 
 
 def _list_keys(n: Column, sketch: Column) -> Column:
@@ -114,7 +114,7 @@ def _verify(size: int, percent: int):
                 both = len(own & other)
                 keep.append(100 * both >= percent * (len(own) + len(other) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return run
+    return task_of("near_dup", run)
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -147,7 +147,7 @@ def _links(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     first = _salted(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), pairs)
     both = second.join(first, ["a", "_salt"])
     return staged(both.select("a", "b", "text_a", "text_b")
-                  .mapInArrow(task_of("near_dup", _verify(size, percent)), "a long, b long").distinct(), "links")
+                  .mapInArrow(_verify(size, percent), "a long, b long").distinct(), "links")
 
 
 def _shared(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
@@ -212,7 +212,7 @@ def _by_block(decide):
                 held.append(r)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-    return run
+    return task_of("near_dup", run)
 
 
 def _estimate_block(percent: int):
@@ -339,7 +339,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    rows = staged(docs.mapInArrow(task_of("near_dup", _sketch(size)),
+    rows = staged(docs.mapInArrow(_sketch(size),
                                   "doc_id long, n long, digest binary, sketch array<int>"), "sketches")
     classes = staged(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest", "n").agg(
         F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")), "classes")
@@ -368,14 +368,14 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     mixed = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y")
     members = placed.join(mixed.select("key"), "key").join(classes.select("rep", "n", "sketch"), "rep")
     hung = staged(_in_blocks(members, F.lit(0), "n", "sketch")
-                  .mapInArrow(task_of("near_dup", _estimate_block(percent)), "a long, b long").distinct(), "hung")
+                  .mapInArrow(_estimate_block(percent), "a long, b long").distinct(), "hung")
     if not hung.isEmpty():
         together = staged(components(hung).select(F.col("id").alias("rep"), F.col("component").alias("key")), "groups")
         texts = _texts(docs, together.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
         members = (together.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", comp)
                    .join(texts, "rep"))
         more = staged(_in_blocks(staged(members, "members"), F.length("text"), "text")
-                      .mapInArrow(task_of("near_dup", _verify_block(size, percent)), "a long, b long"), "links")
+                      .mapInArrow(_verify_block(size, percent), "a long, b long"), "links")
         groups = staged(components(links.select("a", "b").union(more)), "components")
 
     found = (classes.join(groups.withColumnRenamed("id", "rep"), "rep", "left")
